@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from armlode.operators import regrid, spikes
+from armlode.operators import regrid, spikes, units
 from armlode.sources.tables import table
 
 
@@ -20,7 +20,15 @@ def p2_grid(spark: SparkSession, base: str) -> DataFrame:
     return regrid.regular_grid(*(table(spark, base, n) for n in ("frames", "episodes", "source_config")))
 
 
-QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p2_grid": p2_grid}
+def p5_found(spark: SparkSession, base: str) -> DataFrame:
+    return units.uncommon_units(table(spark, base, "raw_frames"), table(spark, base, "source_config"))
+
+
+def p5_common(spark: SparkSession, base: str) -> DataFrame:
+    return units.common_units(table(spark, base, "raw_frames"), table(spark, base, "source_config"))
+
+
+QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p2_grid": p2_grid, "p5_found": p5_found, "p5_common": p5_common}
 
 _KEY = "lower(regexp_replace({}, '[^\\p{{L}}\\p{{N}}]+', '', 'g'))"
 
