@@ -43,12 +43,12 @@ def with_blocks(df: DataFrame, position: str | Column, block: int, halo: int) ->
 
     ``position`` is an integer place within a series. A window partitioned by the series and
     ``_block`` then sees ``halo`` places on either side of each core row, so one long series
-    becomes many tasks. Rows with a null position are core of block 0.
+    becomes many tasks. Positions start at 0; rows with a null position are core of block 0.
     """
     pos = F.coalesce(F.col(position) if isinstance(position, str) else position, F.lit(0)).cast("long")
     own = F.floor(pos / F.lit(block)).cast("long")
     within = pos - own * F.lit(block)
-    blocks = F.array_compact(F.array(own, F.when(within < halo, own - 1), F.when(within >= block - halo, own + 1)))
+    blocks = F.array_compact(F.array(own, F.when((within < halo) & (own > 0), own - 1), F.when(within >= block - halo, own + 1)))
     return df.withColumn("_own", own).withColumn("_block", F.explode(blocks)).withColumn("_core", F.col("_block") == F.col("_own")).drop("_own")
 
 
