@@ -56,7 +56,8 @@ def series(frames: DataFrame) -> DataFrame:
         "episode_id", "frame_idx", "side", source_key("source_dataset").alias("source"), *[v.alias(k) for k, v in p.items()],
         *[F.get("q", F.lit(i)).alias(f"q{i + 1}") for i in range(7)], F.col("q").isNotNull().alias("has_q"), *[F.col(c) for c in DIAGNOSTICS], "received_at",
     )
-    blocks = with_blocks(flat, "frame_idx", BLOCK, HALO)
+    # partitioned once: every later window of a block, also those with more keys, runs on this shuffle
+    blocks = with_blocks(flat, "frame_idx", BLOCK, HALO).repartition("episode_id", "side", "_block")
     copies = Window.partitionBy("episode_id", "side", "_block", "frame_idx").orderBy(F.desc("has_q"), "received_at")
     one = blocks.withColumn("_copy", F.row_number().over(copies)).filter("_copy = 1").drop("_copy", "received_at")
     return one.withColumns({n: c for n, c in zip(_ROT, _rotation({k: F.col(k) for k in p}))} | {n: _log(F.col(c)) for n, c in zip(_LOGS, DIAGNOSTICS)})
@@ -161,7 +162,8 @@ def flag_readings(frames: DataFrame, episodes: DataFrame) -> DataFrame:
     cases = [F.when(F.coalesce(c, F.lit(False)), F.struct(F.lit(f).alias("field"), F.lit(r).alias("reason"))) for r, m in (("bounds", out_of_bounds), ("spike", spikes), ("stuck", stucks)) for f, c in m.items()]
     found = d.select("episode_id", "frame_idx", "side", F.explode(F.array_compact(F.array(*cases))).alias("case")).select("episode_id", "frame_idx", "side", "case.field", "case.reason")
     sides = episodes.select("episode_id", F.explode("active_sides").alias("s")).select("episode_id", F.when(F.col("s") == "left", 1).when(F.col("s") == "right", 0).cast("tinyint").alias("side")).distinct()
-    return found.join(sides, ["episode_id", "side"], "left_semi").select("episode_id", "frame_idx", "side", "field", "reason")
+    # an inner join on distinct sides: a semi join would be pushed below the explode, over all rows
+    return found.join(sides, ["episode_id", "side"]).select("episode_id", "frame_idx", "side", "field", "reason")
 
 
 def implausible_readings(frames: DataFrame, episodes: DataFrame) -> DataFrame:
