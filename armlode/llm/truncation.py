@@ -15,7 +15,7 @@ BYTES_SHORT = 3
 TAIL = 4096
 
 # How texts end.
-_TRAILER = r"(?:\s|(?<=[\n\r])[ \t]*+%[^\n\r]*+(?=[\n\r]|$))++$"
+_TRAILER = r"(?:[\s\p{Z}\p{C}]|(?<=[\n\r])[ \t]*+%[^\n\r]*+(?=[\n\r]|$))++$"
 _CLOSE = r"\\end\{document\}$"
 _READS = r"\\(?:input|include|subfile|InputIfFileExists)\{[^{}\n]*\}$|\\endinput$"
 _COMMAND = r"\\(?:end|label|bibliography|bibliographystyle|printbibliography|pagebreak|vspace|thispagestyle)\*?(?:\[[^\]\n]*\])?\{[^{}\n]*\}$|\\(?:fi|\]|par|qed|maketitle|appendix|tableofcontents|newpage|clearpage|printbibliography|balance)$|\$\$$"
@@ -95,12 +95,12 @@ def judge(documents: DataFrame) -> DataFrame:
     * environment: a piece without an article ends within an environment;
     * broken: the text ends within a word, command, formula or sentence.
 
-    Null, empty and blank texts are never cut. Ties, repeated rows and null ids are judged row by row; extra columns
+    Null, empty and blank texts (of space, separators and control characters) are never cut. Ties, repeated rows and null ids are judged row by row; extra columns
     are ignored; an empty table gives no rows.
     """
     d = documents.select("doc_id", F.coalesce("source", F.lit("")).alias("source"), "text")
     spikes = bounded_broadcast(length_spikes(d).select("source", "measure", "length"))
-    some = F.col("text").isNotNull() & F.col("text").rlike(r"\S")
+    some = F.col("text").isNotNull() & F.col("text").rlike(r"[^\s\p{Z}\p{C}]")
     limits = spikes.groupBy("source").agg(
         F.collect_set(F.when(F.col("measure") == "chars", F.col("length"))).alias("chars_at"), F.collect_set(F.when(F.col("measure") == "bytes", F.col("length"))).alias("bytes_at")
     )
