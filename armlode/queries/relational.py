@@ -121,7 +121,7 @@ def range_semi(spark, base):
 
 def metadata_lookup(spark, base):
     """The last received fps of each episode, on the frames' episodes."""
-    e = _episodes(spark, base).select("episode_id", "fps", "received_at", "calibrated")
+    e = _episodes(spark, base).select("episode_id", "fps", "received_at", F.coalesce(F.col("calibrated").cast("string"), F.lit("unknown")).alias("calibrated"))
     left = table(spark, base, "frames").select("episode_id").distinct()
     return J.lookup_last(left, e, ["episode_id"], ["received_at", "fps", "calibrated"], ["fps", "calibrated"])
 
@@ -242,7 +242,7 @@ def json_fallback(spark, base):
 
 
 def content_hash(spark, base):
-    d = table(spark, base, "documents")
+    d = table(spark, base, "documents").filter("text is not null")
     return d.select("doc_id", F.octet_length("text").cast("long").alias("bytes"), F.sha2("text", 256).alias("sha256"))
 
 
@@ -345,7 +345,7 @@ SQL = {
     "selected_semi": "SELECT o_orderkey, o_custkey FROM orders WHERE EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey AND c_mktsegment = 'BUILDING')",
     "missing_anti": f"WITH {ACTIVE} SELECT a.episode_id, a.side FROM act a WHERE NOT EXISTS (SELECT 1 FROM frames f WHERE f.episode_id = a.episode_id AND f.side = a.side)",
     "range_semi": "SELECT p_partkey, p_partkey * 10 AS lo, p_partkey * 10 + p_size AS hi FROM part WHERE EXISTS (SELECT 1 FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderkey BETWEEN p_partkey * 10 AND p_partkey * 10 + p_size)",
-    "metadata_lookup": "WITH l AS (SELECT episode_id, arg_max({'f': fps, 'c': calibrated}, {'r': received_at, 'f': coalesce(fps, -1), 'c': coalesce(calibrated, false)}) AS v FROM episodes GROUP BY 1) SELECT f.episode_id, v.f AS fps, v.c AS calibrated FROM (SELECT DISTINCT episode_id FROM frames) f LEFT JOIN l ON f.episode_id = l.episode_id",
+    "metadata_lookup": "WITH l AS (SELECT episode_id, arg_max({'f': fps, 'c': coalesce(CAST(calibrated AS VARCHAR), 'unknown')}, {'r': received_at, 'f': coalesce(fps, -1), 'c': coalesce(CAST(calibrated AS VARCHAR), 'unknown')}) AS v FROM episodes GROUP BY 1) SELECT f.episode_id, v.f AS fps, v.c AS calibrated FROM (SELECT DISTINCT episode_id FROM frames) f LEFT JOIN l ON f.episode_id = l.episode_id",
     "frame_equi": f"WITH {ONE} SELECT coalesce(a.episode_id, b.episode_id) AS episode_id, coalesce(a.frame_idx, b.frame_idx) AS frame_idx, a.gripper AS right, b.gripper AS left, a.episode_id IS NULL AS no_right, b.episode_id IS NULL AS no_left FROM (SELECT * FROM one WHERE side = 0) a FULL JOIN (SELECT * FROM one WHERE side = 1) b ON a.episode_id = b.episode_id AND a.frame_idx = b.frame_idx",
     "positional_zip": f"WITH {ONE}, n AS (SELECT episode_id, side, frame_idx, row_number() OVER (PARTITION BY episode_id, side ORDER BY frame_idx) AS place FROM one) SELECT a.episode_id, a.place, a.frame_idx AS right_frame, b.frame_idx AS left_frame FROM n a JOIN n b ON a.episode_id = b.episode_id AND a.place = b.place AND a.side = 0 AND b.side = 1",
     "outer_parity": f"WITH {ONE}, c AS (SELECT episode_id, count(*) FILTER (side = 0) AS r, count(*) FILTER (side = 1) AS l FROM one GROUP BY 1) SELECT episode_id, greatest(l - r, 0) AS only_left, greatest(r - l, 0) AS only_right, greatest(r, l) AS places FROM c WHERE r <> l AND r > 0 AND l > 0",
@@ -363,7 +363,7 @@ SQL = {
     "names_and_slugs": "SELECT name, trim(regexp_replace(lower(name), '[^a-z0-9]+', '_', 'g'), '_') AS slug, replace(repo_id, '/', '__') AS folder, split_part(repo_id, '/', 1) AS owner FROM source_config",
     "archive_numbers": f"WITH {PLAN}, f AS (SELECT DISTINCT data_file FROM plan WHERE data_file IS NOT NULL), n AS (SELECT data_file, try_cast(regexp_extract(data_file, 'chunk-(\\d+)/file-(\\d+)\\.parquet$', 1) AS BIGINT) AS chunk, try_cast(regexp_extract(data_file, 'chunk-(\\d+)/file-(\\d+)\\.parquet$', 2) AS BIGINT) AS file FROM f) SELECT data_file, chunk, file, printf('data/chunk-%03d/file-%03d.parquet', chunk, file) AS again FROM n",
     "json_fallback": "WITH e AS (SELECT episode_id, min(metadata) AS metadata FROM episodes GROUP BY 1) SELECT episode_id, coalesce(CASE WHEN json_valid(metadata) THEN coalesce(json_extract_string(metadata, '$.registration'), json_extract_string(metadata, '$.method')) END, 'none') AS registration FROM e",
-    "content_hash": "SELECT doc_id, CAST(octet_length(encode(text)) AS BIGINT) AS bytes, sha256(text) AS sha256 FROM documents",
+    "content_hash": "SELECT doc_id, CAST(octet_length(encode(text)) AS BIGINT) AS bytes, sha256(text) AS sha256 FROM documents WHERE text IS NOT NULL",
     "declared_rates": f"WITH {CFG}, e AS (SELECT DISTINCT episode_id, {_SRC} AS source, fps FROM episodes) SELECT episode_id, fps, source_fps FROM e JOIN cfg ON e.source = cfg.source WHERE fps IS NULL OR fps <> source_fps",
     "export_runs": f"{_RUNS} SELECT episode_id, start, last, length, episode_index, CAST(to_index - length AS BIGINT) AS from_index, CAST(to_index AS BIGINT) AS to_index, task_index FROM num",
     "export_rows": f"{_RUNS}, k AS (SELECT fx.episode_id, fx.run, row_number() OVER (PARTITION BY fx.episode_id, fx.run ORDER BY frame_idx) - 1 AS frame_index FROM fx WHERE feasible) SELECT num.episode_index, frame_index, round(frame_index / 30, 6) AS timestamp, CAST(to_index - length + frame_index AS BIGINT) AS index, task_index, CAST(16 AS INT) AS width FROM k JOIN num ON k.episode_id = num.episode_id AND k.run = num.run",
