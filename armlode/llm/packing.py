@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
@@ -15,38 +16,62 @@ from armlode.operators.scale import BROADCAST_ROWS, durable
 
 #: Open windows per plan and partition.
 OPEN_WINDOWS = 128
+#: Segments whose counts one task remembers.
+REMEMBERED = 400_000
 #: Left-over containers that one merging task takes; more are merged in several tasks.
 MERGE_ROWS = 200_000
 
 
-def token_counts(documents: DataFrame, tokenizer: str, folder: str = tokens.TOKENIZERS) -> DataFrame:
-    """(doc_id, tokens) of every text; null and empty texts have none.
+def _counter(name: str, folder: str):
+    """texts -> token counts by the tokenizer's own library.
 
-    A byte-level vocabulary counts by word: every distinct word is encoded once and texts sum up their words'
-    counts. Other vocabularies are counted by their own library, a batch of texts at a time.
+    A text is cut where no token can cross: before white space (byte-level), before spaces (pieces, whose dummy space is put
+    in front). Counts of segments are remembered within a task, at most REMEMBERED of them.
     """
-    docs = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    if tokenizer.startswith("byte_bpe"):
-        return tokens.count_tokens(docs, tokenizer, folder)
 
-    path = f"{folder}/{tokenizer}.model" if tokenizer.startswith("piece") else f"{folder}/{tokenizer}.json"
+    class Counts(dict):
+        def __init__(self, size):
+            self.size = size
 
-    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        if path.endswith(".model"):
-            import sentencepiece
+        def __missing__(self, segment):
+            if len(self) >= REMEMBERED:
+                self.clear()
+            n = self[segment] = self.size(segment)
+            return n
 
-            model = sentencepiece.SentencePieceProcessor(model_file=path)
-            size = lambda texts: [len(x) for x in model.encode(texts, num_threads=1)]
-        else:
-            from tokenizers import Tokenizer
+    if name.startswith("piece"):
+        import sentencepiece
+
+        model = sentencepiece.SentencePieceProcessor(model_file=f"{folder}/{name}.model")
+        counts = Counts(lambda s: 1 if s == " " else len(model.encode(s[1:])))
+        cut, front = re.compile(" +[^ ]*"), " "
+    elif name.startswith("byte_bpe"):
+        import tiktoken
+
+        model = tiktoken.Encoding(name, pat_str=tokens.PYTHON_WORDS, mergeable_ranks=tokens.load_ranks(name, folder), special_tokens={})
+        counts = Counts(lambda s: len(model.encode_ordinary(s)))
+        cut, front = re.compile(f"[{tokens.PYTHON_SPACE}]*[^{tokens.PYTHON_SPACE}]+|[{tokens.PYTHON_SPACE}]+"), ""
+    else:
+        from tokenizers import Tokenizer
 
-            model = Tokenizer.from_file(path)
-            model.encode_special_tokens = True
-            size = lambda texts: [len(x.ids) for x in model.encode_batch(texts, add_special_tokens=False)]
+        model = Tokenizer.from_file(f"{folder}/{name}.json")
+        model.encode_special_tokens = True
+        return lambda texts: [len(x.ids) for x in model.encode_batch(texts, add_special_tokens=False)]
+    get, find = counts.__getitem__, cut.findall
+    return lambda texts: [sum(map(get, find(front + t))) if t else 0 for t in texts]
+
+
+def token_counts(documents: DataFrame, names: list[str], folder: str = tokens.TOKENIZERS) -> DataFrame:
+    """doc_id and, per tokenizer, the tokens of every text, in one pass; null and empty texts have none."""
+    docs = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+
+    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counters = [_counter(n, folder) for n in names]
         for frame in frames:
-            yield pd.DataFrame({"doc_id": frame["doc_id"], "tokens": size(frame["text"].tolist())})
+            texts = frame["text"].tolist()
+            yield pd.DataFrame({"doc_id": frame["doc_id"]} | {f"n{i}": c(texts) for i, c in enumerate(counters)})
 
-    return docs.mapInPandas(count, "doc_id long, tokens long")
+    return docs.mapInPandas(count, ", ".join(["doc_id long", *(f"n{i} long" for i in range(len(names)))]))
 
 
 def items(sizes: DataFrame, capacity: int) -> DataFrame:
@@ -134,14 +159,12 @@ def pack_documents(documents: DataFrame, plan: DataFrame, folder: str = tokens.T
     """
     rows = plan.filter("plan_id is not null and capacity_tokens > 0 and tokenizer is not null").limit(BROADCAST_ROWS).collect()  # a plan is a few rows
     docs = documents.filter("doc_id is not null")
-    sizes = None
-    for name in sorted({r["tokenizer"] for r in rows}):
-        counted = durable(token_counts(docs, name, folder))
-        for r in rows:
-            if r["tokenizer"] == name:
-                own = counted.withColumn("plan_id", F.lit(r["plan_id"]).cast("int"))
-                sizes = own if sizes is None else sizes.unionByName(own)
-    if sizes is None:
+    names = sorted({r["tokenizer"] for r in rows})
+    if rows:
+        counted = durable(token_counts(docs, names, folder))
+        each = F.explode(F.array(*[F.struct(F.lit(r["plan_id"]).cast("int").alias("plan_id"), F.col(f"n{names.index(r['tokenizer'])}").alias("tokens")) for r in rows]))
+        sizes = counted.select("doc_id", each.alias("s")).select("doc_id", "s.plan_id", "s.tokens")
+    else:
         return documents.sparkSession.createDataFrame([], "plan_id int, doc_id long, piece long, first_token long, tokens long, container_id long")
     return pack(sizes, [(r["plan_id"], r["capacity_tokens"]) for r in rows])
 

@@ -15,6 +15,9 @@ TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
 #: Fixed value: how byte-level BPE cuts a text into words, with Unicode's white space spelled out.
 _SPACE = r"\t-\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 WORDS = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}++| ?\p{{N}}++| ?[^{_SPACE}\p{{L}}\p{{N}}]++|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]++"
+#: The same in Python's notation.
+PYTHON_SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+PYTHON_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: The most frequent words, at most so many, are looked up in a table that every task holds; all others are joined.
 LOOKUP_WORDS = 1 << 17
 #: Buckets of the literal rank map and of the lookup table.
