@@ -11,8 +11,9 @@ from armlode.operators.scale import bounded_broadcast
 SPIKE_LEAST, SPIKE_TIMES, SPIKE_AROUND = 4, 8.0, 200
 #: A field limited in bytes ends before a character that would not fit.
 BYTES_SHORT = 3
-#: Characters at the end of a text that are searched for how it ends; where they hold only space and comments, the whole text is.
-TAIL = 4096
+#: Characters at the end of a text that are searched for its last line that is no comment; where they hold none whole, the text is.
+#: How that line ends is read from its last characters.
+TAIL, END = 1024, 300
 
 # How texts end.
 _TRAILER = r"(?:[\s\p{Z}\p{C}]|(?<=[\n\r])[ \t]*+%[^\n\r]*+(?=[\n\r]|$))++$"
@@ -55,20 +56,18 @@ def open_environments(text: Column) -> Column:
     return F.aggregate(marks, F.array().cast("array<string>"), step)
 
 
-def _last_line(text: Column) -> Column:
-    return F.regexp_extract(text, r"[^\n\r]*$", 0)
-
-
 def endings(documents: DataFrame) -> DataFrame:
     """Adds what a text's end shows: ``ending`` without trailing space and comments, and the flags read from it."""
-    tail = F.regexp_replace(F.right(F.col("text"), F.lit(TAIL)), _TRAILER, "")
-    whole = F.regexp_replace(F.col("text"), _TRAILER, "")
-    d = documents.withColumn("_core", F.when((tail == "") | (F.regexp_replace(tail, r"^[^\n]*", "") == "") & (F.length("text") > TAIL) & tail.rlike(r"^\s*%"), whole).otherwise(tail))
+    stripped = documents.withColumn("_tail", F.regexp_replace(F.right(F.col("text"), F.lit(TAIL)), _TRAILER, ""))
+    # without a line break it may be the rest of a line whose start, perhaps a comment's, lies further ahead
+    partial = ~F.col("_tail").contains("\n") & (F.length("text") > TAIL)
+    d = stripped.withColumn("_core", F.when(partial, F.regexp_replace(F.col("text"), _TRAILER, "")).otherwise(F.col("_tail"))).drop("_tail")
     d = d.withColumn("closed", F.col("_core").rlike(_CLOSE))
     inner = F.regexp_replace(F.regexp_replace("_core", _CLOSE, ""), _TRAILER, "")
-    d = d.withColumn("ending", F.when(F.col("closed"), inner).otherwise(F.col("_core"))).drop("_core")
+    d = d.withColumn("_whole", F.when(F.col("closed"), inner).otherwise(F.col("_core"))).drop("_core")
+    d = d.withColumns({"ending": F.right("_whole", F.lit(END)), "_line": F.substring_index("_whole", "\n", -1)}).drop("_whole")
     end = F.col("ending")
-    line = _last_line(end)
+    line = F.col("_line")
     # an odd number of dollars in the last line: a formula that is not closed
     dollars = F.length(F.regexp_replace(F.regexp_replace(line, r"\\.", ""), r"[^$]", ""))
     formula = dollars % 2 == 1
@@ -81,7 +80,7 @@ def endings(documents: DataFrame) -> DataFrame:
         "command": end.rlike(_COMMAND),
         "listing": line.rlike(_KEYWORDS) | line.rlike(_SIGNATURE),
         "before_close": end.rlike(_BEFORE_CLOSE) & ~end.rlike(_ABBREVIATION) & ~formula,
-    })
+    }).drop("_line")
 
 
 def judge(documents: DataFrame) -> DataFrame:
@@ -124,7 +123,8 @@ def judge(documents: DataFrame) -> DataFrame:
 
 def cut_texts(documents: DataFrame) -> DataFrame:
     """(doc_id): the documents whose stored text lacks its end."""
-    return judge(documents).filter("cut and doc_id is not null").select("doc_id").distinct()
+    # exploded, not filtered: a filter on the verdict would be pushed below and evaluate the texts' ends over and over
+    return judge(documents).select(F.explode(F.when(F.col("cut") & F.col("doc_id").isNotNull(), F.array("doc_id")).otherwise(F.array().cast("array<bigint>"))).alias("doc_id")).distinct()
 
 
 def cut_shares(documents: DataFrame) -> DataFrame:
