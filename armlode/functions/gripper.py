@@ -21,7 +21,8 @@ CLOSED_Z = PIVOT_Z - PAD_REACH
 
 
 def clip(c: Column, low: float, high: float) -> Column:
-    return F.least(F.greatest(c, F.lit(low)), F.lit(high))
+    """Kept within low and high; null stays null, which least and greatest alone would pass over."""
+    return F.when(c.isNotNull(), F.least(F.greatest(c, F.lit(low)), F.lit(high)))
 
 
 def aperture_of_angle(angle: Column) -> Column:
