@@ -58,14 +58,16 @@ def open_environments(text: Column) -> Column:
 
 def endings(documents: DataFrame) -> DataFrame:
     """Adds what a text's end shows: ``ending`` without trailing space and comments, and the flags read from it."""
-    stripped = documents.withColumn("_tail", F.regexp_replace(F.right(F.col("text"), F.lit(TAIL)), _TRAILER, ""))
+    def ends(text: Column) -> Column:
+        """Without what trails; without the article's closing line and what trails before it, too."""
+        core = F.regexp_replace(text, _TRAILER, "")
+        return F.when(core.rlike(_CLOSE), F.struct(F.lit(True).alias("closed"), F.regexp_replace(F.regexp_replace(core, _CLOSE, ""), _TRAILER, "").alias("rest"))).otherwise(F.struct(F.lit(False).alias("closed"), core.alias("rest")))
+
+    d = documents.withColumn("_end", ends(F.right(F.col("text"), F.lit(TAIL))))
     # without a line break it may be the rest of a line whose start, perhaps a comment's, lies further ahead
-    partial = ~F.col("_tail").contains("\n") & (F.length("text") > TAIL)
-    d = stripped.withColumn("_core", F.when(partial, F.regexp_replace(F.col("text"), _TRAILER, "")).otherwise(F.col("_tail"))).drop("_tail")
-    d = d.withColumn("closed", F.col("_core").rlike(_CLOSE))
-    inner = F.regexp_replace(F.regexp_replace("_core", _CLOSE, ""), _TRAILER, "")
-    d = d.withColumn("_whole", F.when(F.col("closed"), inner).otherwise(F.col("_core"))).drop("_core")
-    d = d.withColumns({"ending": F.right("_whole", F.lit(END)), "_line": F.substring_index("_whole", "\n", -1)}).drop("_whole")
+    partial = ~F.col("_end.rest").contains("\n") & (F.length("text") > TAIL)
+    d = d.withColumn("_end", F.when(partial, ends(F.col("text"))).otherwise(F.col("_end")))
+    d = d.withColumns({"closed": F.col("_end.closed"), "ending": F.right(F.col("_end.rest"), F.lit(END)), "_line": F.substring_index("_end.rest", "\n", -1)}).drop("_end")
     end = F.col("ending")
     line = F.col("_line")
     # an odd number of dollars in the last line: a formula that is not closed
