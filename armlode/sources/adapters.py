@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from armlode.functions import gripper as G
@@ -33,8 +33,12 @@ class SourceSettings:
         return self.tool[side] if isinstance(self.tool, dict) else self.tool
 
 
-def decode_pose(values: Column, s: SourceSettings, side: str) -> Column:
-    """A vector of position and rotation (more values are ignored) as a pose in the target's frame; null where it is too short."""
+def with_pose(df: DataFrame, column: str, s: SourceSettings, side: str, out: str) -> DataFrame:
+    """Adds a vector of position and rotation (more values are ignored) as a pose in the target's frame; null where it is too short.
+
+    Each step is a column of its own: nested into one expression, products of quaternions would repeat their parts at every level.
+    """
+    values = F.col(column)
     v = [F.get(values, F.lit(i)) for i in range(7)]
     if s.rotation == "quaternion":
         q = v[3:7] if s.quaternion_order == "xyzw" else [v[4], v[5], v[6], v[3]]
@@ -45,9 +49,15 @@ def decode_pose(values: Column, s: SourceSettings, side: str) -> Column:
     else:
         raise ValueError(f"unknown rotation representation: {s.rotation}")
     lit = lambda a: ([F.lit(float(x)) for x in a[:3]], [F.lit(float(x)) for x in a[3:]])
-    p, q = P.transform((v[:3], P.normalize(q)), lit(s.base), lit(s.tool_of(side)), s.position_scale)
+    names = [f"_q{i}" for i in range(4)]
+    kept = lambda d, cols: d.withColumns(dict(zip(names, cols)))
+    here = lambda: [F.col(n) for n in names]
+    d = kept(kept(df, q), P.normalize(here()))
+    p, q = P.transform((v[:3], here()), lit(s.base), lit(s.tool_of(side)), s.position_scale)
+    d = kept(d.withColumns({f"_p{i}": c for i, c in enumerate(p)}), q)
+    d = kept(d, P.normalize(here()))
     width = 7 if s.rotation == "quaternion" else 6
-    return F.when(F.size(values) >= width, P.make_pose(p, P.normalize(q)))
+    return d.withColumn(out, F.when(F.size(values) >= width, P.make_pose([F.col(f"_p{i}") for i in range(3)], here()))).drop(*names, "_p0", "_p1", "_p2")
 
 
 def closure(df: DataFrame, value: str, keys: list[str], s: SourceSettings, out: str) -> DataFrame:
@@ -87,6 +97,6 @@ def to_frames(df: DataFrame, s: SourceSettings, episode: str = "episode_index",
             continue
         pose = s.fields.get(f"{side}_pose", s.fields.get("pose"))
         grip = s.fields.get(f"{side}_gripper", s.fields.get("gripper"))
-        one = closure(d, grip, [episode], s, "_g").select(F.col(episode).cast("long").alias("episode_id"), F.col("_i").alias("frame_idx"), F.lit(k).cast("byte").alias("side"), F.col("_t").alias("t"), decode_pose(F.col(pose), s, side).alias("pose"), F.col("_g").alias("gripper"))
+        one = with_pose(closure(d, grip, [episode], s, "_g"), pose, s, side, "_pose").select(F.col(episode).cast("long").alias("episode_id"), F.col("_i").alias("frame_idx"), F.lit(k).cast("byte").alias("side"), F.col("_t").alias("t"), F.col("_pose").alias("pose"), F.col("_g").alias("gripper"))
         out = one if out is None else out.unionByName(one)
     return out
