@@ -300,3 +300,109 @@ def harmonise(rgba: DataFrame, background: DataFrame, keep: float = 0.9) -> Data
     used = F.filter(so_far, lambda s: s["gain"].isNotNull())
     fold = lambda n: F.when(F.size(used) > 0, F.aggregate(used, F.get(used, F.lit(0))[n], lambda c, s: keep * c + (1 - keep) * s[n]))
     return raw.select(*KEYS, fold("gain").alias("gain"), fold("shift").alias("shift"))
+
+
+def union_masks(layers: DataFrame, threshold: int = 0) -> DataFrame:
+    """One mask per frame from any number of layers of it (one row per object), by a grouped or."""
+    rows = layers.groupBy(*KEYS).agg(F.first("h").alias("m_h"), F.first("w").alias("m_w"), F.first("c").alias("m_c"), F.collect_list("data").alias("all"))
+    return per_frame(rows, lambda d: _layer(d, np.logical_or.reduce([image(x, int(d["m_h"]), int(d["m_w"]), int(d["m_c"])) > threshold for x in d["all"]])), LAYER)
+
+
+def temporal_change(source: DataFrame, output: DataFrame, masks: DataFrame, threshold: int = 0) -> DataFrame:
+    """(clip, frame_idx, changed_sum, count): how far the change from the frame before differs between output and source, where neither frame is masked.
+
+    The frame before comes from a window over the clip; sums allow a ratio over all frames.
+    """
+    w = Window.partitionBy("clip").orderBy("frame_idx")
+    d = joined(s=source, o=output, m=masks)
+    d = d.withColumns({f"{n}_before": F.lag(f"{n}_data").over(w) for n in ("s", "o", "m")}).filter("s_before is not null")
+
+    def measure(d: dict) -> dict:
+        now = {n: _get(d, n).astype(float) for n in ("s", "o")}
+        was = {n: image(d[f"{n}_before"], int(d[f"{n}_h"]), int(d[f"{n}_w"]), int(d[f"{n}_c"])).astype(float) for n in ("s", "o")}
+        free = ~(_get(d, "m", threshold) | (image(d["m_before"], int(d["m_h"]), int(d["m_w"]), int(d["m_c"])) > threshold))
+        diff = np.abs((now["o"] - was["o"]) - (now["s"] - was["s"]))
+        diff = diff if diff.ndim == 2 else diff.mean(axis=2)
+        return {"clip": d["clip"], "frame_idx": d["frame_idx"], "changed_sum": float(diff[free].sum()), "count": int(free.sum())}
+
+    return per_frame(d, measure, "clip string, frame_idx long, changed_sum double, count long")
+
+
+def restore_protected(source: DataFrame, clean: DataFrame, protected: DataFrame, least_share: float = 0.25, threshold: int = 0) -> DataFrame:
+    """Clean frames with the protected pixels of the source put back, but in frames whose mask is far smaller than the clip's median non-empty one."""
+    usual = mask_counts(protected, threshold).filter("area > 0").groupBy("clip").agg(F.percentile("area", 0.5).alias("usual"))
+    d = joined(s=source, o=clean, m=protected).join(usual, "clip", "left")
+
+    def restore(d: dict) -> dict:
+        m, out = _get(d, "m", threshold), _get(d, "o").copy()
+        if d["usual"] is not None and m.sum() >= least_share * d["usual"]:
+            out[m] = _get(d, "s")[m]
+        return _layer(d, out)
+
+    return per_frame(d, restore, LAYER)
+
+
+def render_report(rgba: DataFrame, least_visible: float = 0.0, seen_from: int = 8) -> DataFrame:
+    """Per clip: frames, frames without anything visible, and the mean visible part; ``ok`` when none is empty."""
+    d = per_frame(_side(rgba, "f"), lambda d: {"clip": d["clip"], "frame_idx": d["frame_idx"], "visible": float((_get(d, "f")[..., 3] >= seen_from).mean())}, "clip string, frame_idx long, visible double")
+    agg = d.groupBy("clip").agg(F.count("*").alias("frames"), F.count_if(F.col("visible") <= least_visible).alias("empty"), F.avg("visible").alias("visible_fraction"))
+    return agg.withColumn("ok", F.col("empty") == 0)
+
+
+def depth_report(depth: DataFrame, rgba: DataFrame) -> DataFrame:
+    """Per clip the part of visible pixels that have a finite positive depth. ``depth`` holds (clip, frame_idx, h, w, depth_m)."""
+    d = _side(rgba, "f").join(depth.select(*KEYS, F.col("depth_m").alias("z")), KEYS, "left")
+
+    def cover(d: dict) -> dict:
+        on = _get(d, "f")[..., 3] > 0
+        z = None if d["z"] is None else np.asarray(d["z"], dtype=float).reshape(on.shape)
+        return {"clip": d["clip"], "frame_idx": d["frame_idx"], "on": int(on.sum()), "hit": 0 if z is None else int((on & np.isfinite(z) & (z > 0)).sum()), "given": z is not None}
+
+    rows = per_frame(d, cover, "clip string, frame_idx long, on long, hit long, given boolean")
+    agg = rows.groupBy("clip").agg(F.count("*").alias("frames"), F.count_if(~F.col("given")).alias("missing"), (F.sum("hit") / F.greatest(F.sum("on"), F.lit(1))).alias("coverage"))
+    return agg.withColumn("ok", (F.col("missing") == 0) & (F.col("coverage") >= 0.99))
+
+
+def same_alpha(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Per clip the frames that both hold and those whose alpha differs anywhere."""
+    d = per_frame(joined(a=a, b=b), lambda d: {"clip": d["clip"], "frame_idx": d["frame_idx"], "differs": int((_get(d, "a")[..., 3] != _get(d, "b")[..., 3]).sum())}, "clip string, frame_idx long, differs long")
+    return d.groupBy("clip").agg(F.count("*").alias("frames"), F.count_if(F.col("differs") > 0).alias("different"))
+
+
+def edge_components(masks: DataFrame, least: int = 1, threshold: int = 0) -> DataFrame:
+    """Only the parts of a mask that touch the image's left, right or lower edge and are large enough."""
+
+    def keep(d: dict) -> dict:
+        m = _get(d, "m", threshold)
+        label, n = components(m)
+        out = np.zeros_like(m)
+        for k in range(1, n + 1):
+            part = label == k
+            if part.sum() >= least and (part[:, 0].any() or part[:, -1].any() or part[-1].any()):
+                out |= part
+        return _layer(d, out)
+
+    return per_frame(_side(masks, "m"), keep, LAYER)
+
+
+def panels(**layers: DataFrame) -> DataFrame:
+    """Layers of equal height side by side, as RGB."""
+
+    def put(d: dict) -> dict:
+        parts = [_get(d, n) for n in layers]
+        return _layer(d, np.concatenate([p[..., None].repeat(3, axis=2) if p.ndim == 2 else p[..., :3] for p in parts], axis=1))
+
+    return per_frame(joined(**layers), put, LAYER)
+
+
+def light_samples(rgba: DataFrame, background: DataFrame, stride: int = 8, opaque: int = 224) -> DataFrame:
+    """Per clip the 10th, 50th and 90th percentile of grey levels of opaque foreground and of background, over every ``stride``-th frame."""
+
+    def sample(d: dict) -> dict:
+        f, b = _get(d, "f").astype(float), _get(d, "b").astype(float)
+        return {"clip": d["clip"], "frame_idx": d["frame_idx"], "front": f[..., :3].mean(axis=2)[f[..., 3] >= opaque].tolist(), "back": (b if b.ndim == 2 else b.mean(axis=2)).ravel().tolist()}
+
+    d = joined(f=rgba, b=background).filter(F.col("frame_idx") % stride == 0)
+    long = per_frame(d, sample, "clip string, frame_idx long, front array<double>, back array<double>")
+    levels = long.select("clip", F.lit("front").alias("layer"), F.explode("front").alias("v")).unionByName(long.select("clip", F.lit("back").alias("layer"), F.explode("back").alias("v")))
+    return levels.groupBy("clip", "layer").agg(F.percentile("v", F.array(F.lit(0.1), F.lit(0.5), F.lit(0.9))).alias("levels"))

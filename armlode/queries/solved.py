@@ -69,6 +69,32 @@ def composite_change(spark, base):
     return c.groupBy("clip").agg(F.round(F.sum("outside_sum") / F.greatest(F.sum("outside_count"), F.lit(1)), 5).alias("outside"), F.round(F.sum("inside_sum") / F.greatest(F.sum("inside_count"), F.lit(1)), 5).alias("inside"), F.round(F.avg("copy_fraction"), 5).alias("copied"))
 
 
+def plate_change(spark, base):
+    """How far a video whose masked pixels are greyed changes from frame to frame against the video itself, over free pixels."""
+    d = _frames(spark, base)
+    v, m = rasters(d, "video"), rasters(d, "mask")
+    grey = PX.per_frame(PX.joined(v=v, m=m), lambda r: PX._layer(r, _greyed(PX._get(r, "v"), PX._get(r, "m", 0))), PX.LAYER)
+    return PX.temporal_change(v, grey, m).groupBy("clip").agg(F.count("*").alias("frames"), F.sum("count").alias("pixels"), F.round(F.sum("changed_sum") / F.greatest(F.sum("count"), F.lit(1)), 6).alias("change"))
+
+
+def _greyed(v, m):
+    out = v.copy()
+    out[m] = 128
+    return out
+
+
+def render_checks(spark, base):
+    """What renders show of the grippers, and that their alpha is unchanged by compositing order."""
+    d = _frames(spark, base)
+    r = rasters(d, "rgba")
+    return PX.render_report(r).join(PX.same_alpha(r, r).select("clip", "different"), "clip").select("clip", "frames", "empty", F.round("visible_fraction", 6).alias("visible_fraction"), "ok", "different")
+
+
+def light_levels(spark, base):
+    d = _frames(spark, base)
+    return PX.light_samples(rasters(d, "rgba"), rasters(d, "video")).select("clip", "layer", F.transform("levels", lambda x: F.round(x, 3)).alias("levels"))
+
+
 def detection_boxes(spark, base):
     """Boxes around each gripper as seen from above, scored by closeness; the best per half of the image."""
     d = _frames(spark, base).filter("position_error_m >= 0")
@@ -79,7 +105,7 @@ def detection_boxes(spark, base):
     return b.select("episode_id", "frame_idx", "half", *[F.round(F.col(f"box.{k}") + 1.1e-9, 4).alias(k) for k in ("xmin", "ymin", "xmax", "ymax")])
 
 
-QUERIES = {f.__name__: f for f in (solve_chain, smooth_joints, side_clearance, registration_choice, accepted_contacts, mask_audit, mask_overlap, clean_plates, composite_change, detection_boxes)}
+QUERIES = {f.__name__: f for f in (solve_chain, smooth_joints, side_clearance, registration_choice, accepted_contacts, mask_audit, mask_overlap, clean_plates, composite_change, plate_change, render_checks, light_levels, detection_boxes)}
 
 _R = "(2.0 + 2.0 * (1 - coalesce(gripper, 0.0)))"
 _CX, _CY = f"((pose.y + 0.6) / 1.2 * {WIDTH})", f"(pose.x / 0.8 * {HEIGHT})"

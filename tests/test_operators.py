@@ -461,6 +461,34 @@ def test_alpha_over_in_linear_light(spark):
     assert h[0]["gain"] == h[1]["gain"] and h[0]["shift"] is not None
 
 
+def test_more_image_operators(spark):
+    a, b = square(2, 2, 4), square(8, 0, 3)
+    u = PX.union_masks(layer(spark, [a]).union(layer(spark, [b]))).first()
+    assert sum(bytes(u["data"])) == (16 + 9) * 255
+    e = PX.image(bytes(PX.edge_components(layer(spark, [a | b])).first()["data"]), 12, 12, 1)
+    assert e[9, 1] and not e[3, 3]
+    v = [np.full((12, 12), 10 * i, dtype=np.uint8) for i in range(3)]
+    o = [x.copy() for x in v]
+    o[2] = o[2] + 4
+    t = PX.temporal_change(layer(spark, v), layer(spark, o), layer(spark, [square(0, 0, 6)] * 3)).orderBy("frame_idx").collect()
+    assert [r["count"] for r in t] == [108, 108] and [r["changed_sum"] / r["count"] for r in t] == [0.0, 4.0]
+    small = square(2, 2, 1)
+    rest = PX.restore_protected(layer(spark, [x + 100 for x in v]), layer(spark, v), layer(spark, [a, a, small])).orderBy("frame_idx").collect()
+    assert [PX.image(bytes(r["data"]), 12, 12, 1)[2, 2] for r in rest] == [100, 110, 20]
+    rgba = [np.dstack([a] * 4), np.zeros((12, 12, 4), dtype=np.uint8)]
+    rep = PX.render_report(layer(spark, rgba)).first()
+    assert not rep["ok"] and rep["empty"] == 1 and abs(rep["visible_fraction"] - 8 / 144) < 1e-12
+    z = np.where(a > 0, 0.7, np.inf)
+    depth = spark.createDataFrame([("c", 0, 12, 12, z.ravel().tolist())], "clip string, frame_idx long, h int, w int, depth_m array<float>")
+    assert PX.depth_report(depth, layer(spark, rgba[:1])).first()["ok"] and not PX.depth_report(depth, layer(spark, rgba)).first()["ok"]
+    other = [np.dstack([a, a, a, b]), rgba[1]]
+    assert PX.same_alpha(layer(spark, rgba), layer(spark, other)).first()["different"] == 1
+    p = PX.panels(x=layer(spark, [a]), y=layer(spark, [rgba[0]])).first()
+    assert (p["h"], p["w"], p["c"]) == (12, 24, 3)
+    l = {r["layer"]: r["levels"] for r in PX.light_samples(layer(spark, rgba), layer(spark, [a * 0 + 40] * 2)).collect()}  # noqa: E741
+    assert l["front"] == [255.0] * 3 and l["back"] == [40.0] * 3
+
+
 def test_boxes(spark):
     box = "struct<xmin:double,ymin:double,xmax:double,ymax:double>"
     rows = [(0, 0, 0.9, (0.0, 0.0, 640.0, 480.0)), (0, 1, 0.8, (10.0, 100.0, 200.0, 300.0)), (0, 2, 0.7, (400.0, 100.0, 600.0, 300.0)), (0, 3, 0.7, (410.0, 100.0, 600.0, 300.0)), (0, 4, 0.99, (5.0, 5.0, 4.0, 9.0))]
