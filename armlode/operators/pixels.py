@@ -387,9 +387,10 @@ def edge_components(masks: DataFrame, least: int = 1, threshold: int = 0) -> Dat
 
 def panels(**layers: DataFrame) -> DataFrame:
     """Layers of equal height side by side, as RGB."""
+    names = list(layers)
 
     def put(d: dict) -> dict:
-        parts = [_get(d, n) for n in layers]
+        parts = [_get(d, n) for n in names]
         return _layer(d, np.concatenate([p[..., None].repeat(3, axis=2) if p.ndim == 2 else p[..., :3] for p in parts], axis=1))
 
     return per_frame(joined(**layers), put, LAYER)
