@@ -31,7 +31,7 @@ def numbered_runs(runs: DataFrame, episodes: DataFrame) -> DataFrame:
     w = Window.partitionBy("_range").orderBy("episode_id", "run")
     d = r.join(base, "_range").withColumns({"episode_index": F.col("_n0") + F.row_number().over(w) - 1, "to_index": F.col("_l0") + F.sum("length").over(w.rowsBetween(Window.unboundedPreceding, 0))})
     d = d.withColumn("from_index", F.col("to_index") - F.col("length"))
-    tasks = d.groupBy("task").agg(F.min("episode_index").alias("_first")).withColumn("task_index", (F.dense_rank().over(Window.orderBy("_first")) - 1).cast("bigint"))
+    tasks = S.number_globally(d.groupBy("task").agg(F.min("episode_index").alias("_first")), F.floor(F.col("_first") / 65536), ["_first"], "task_index")
     return d.join(tasks.select("task", "task_index"), "task").select("episode_id", "run", "start", "last", "length", "episode_index", "from_index", "to_index", "task", "task_index")
 
 
