@@ -14,7 +14,7 @@ from armlode.operators.scale import durable
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
 #: Fixed value: how byte-level BPE cuts a text into words, with Unicode's white space spelled out.
 _SPACE = r"\t-\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
-WORDS = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}++| ?\p{{N}}++| ?[^{_SPACE}\p{{L}}\p{{N}}]++|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]++"
+WORDS = rf"'(?:s|t|re|ve|m|ll|d)| ?\p{{L}}++| ?\p{{N}}++| ?[^{_SPACE}\p{{L}}\p{{N}}]++|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]++"
 #: The same in Python's notation.
 PYTHON_SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 PYTHON_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -107,21 +107,24 @@ def encoded_words(documents: DataFrame, tokenizer: str, folder: str = TOKENIZERS
 
 
 def lookup_table(words: DataFrame, value: str, limit: int = LOOKUP_WORDS) -> DataFrame:
-    """One row holding the ``limit`` most frequent words in hash buckets: array<struct<k, v>>.
+    """One row holding the ``limit`` most frequent words in hash buckets: an array of maps.
 
     Its size is bounded by ``limit`` words, whatever the corpus; words beyond it are left to a join.
     """
     top = words.orderBy(F.desc("texts"), "word").limit(limit)
-    bucketed = top.groupBy(F.pmod(F.xxhash64("word"), F.lit(WORD_BUCKETS)).alias("b")).agg(F.collect_list(F.struct(F.col("word"), F.col(value).alias("v"))).alias("e"))
+    bucketed = top.groupBy(_bucket(F.col("word")).alias("b")).agg(F.map_from_entries(F.collect_list(F.struct("word", F.col(value).alias("v")))).alias("m"))
     every = words.sparkSession.range(WORD_BUCKETS).join(bucketed, F.col("id") == F.col("b"), "left")
-    entries = F.struct("id", F.col("e.word").alias("k"), F.col("e.v").alias("v"))
-    return every.agg(F.transform(F.array_sort(F.collect_list(entries)), lambda x: F.struct(x["k"].alias("k"), x["v"].alias("v"))).alias("table"))
+    # structs that hold maps have no order of their own: they are put in the order of their buckets
+    return every.agg(F.array_sort(F.collect_list(F.struct("id", F.coalesce("m", F.create_map().cast(bucketed.schema["m"].dataType)).alias("m"))), lambda a, b: (a["id"] - b["id"]).cast("int")).alias("e")).select(F.col("e.m").alias("table"))
+
+
+def _bucket(word: Column) -> Column:
+    return F.hash(word).bitwiseAND(F.lit(WORD_BUCKETS - 1))
 
 
 def lookup(table: Column, word: Column) -> Column:
     """What the table holds for a word, or null."""
-    bucket = F.get(table, F.pmod(F.xxhash64(word), F.lit(WORD_BUCKETS)).cast("int"))
-    return F.get(bucket["v"], (F.array_position(bucket["k"], word) - 1).cast("int"))
+    return F.try_element_at(F.get(table, _bucket(word)), word)
 
 
 def encode_documents(documents: DataFrame, tokenizer: str = "byte_bpe_50k", folder: str = TOKENIZERS, limit: int = LOOKUP_WORDS) -> DataFrame:
