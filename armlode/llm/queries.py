@@ -71,6 +71,17 @@ sizes AS (SELECT o.source, sum(coalesce(o.own, o.frames / r.fps)) AS held FROM o
 listed AS (SELECT m.mixture_id, m.source_dataset, coalesce(m.weight, 0) AS weight, m.max_repeats, coalesce(s.held, 0) AS held FROM mix_targets m LEFT JOIN sizes s ON s.source = {_KEY.format('m.source_dataset')}),
 full_ AS (SELECT *, sum(held) OVER (PARTITION BY mixture_id) * weight / sum(weight) OVER (PARTITION BY mixture_id) AS target FROM listed)
 SELECT mixture_id, source_dataset FROM full_ WHERE target > 0 AND CASE WHEN max_repeats IS NULL THEN held = 0 ELSE target > max_repeats * held * (1 + 1e-12) END
+""",
+    "p4_found": f"""
+WITH RECURSIVE repos AS (SELECT {_KEY.format('name')} AS source, min(lower(trim(repo_id))) AS repo FROM source_config GROUP BY 1),
+e AS (SELECT episode_id, {_KEY.format('source_dataset')} AS source, regexp_replace(lower(trim(source_episode)), '\\s*(?:#\\s*\\d+\\s*[-:]\\s*\\d+|\\[\\s*\\d+\\s*[:-]\\s*\\d+\\s*\\])$', '') AS cut, {_KEY.format('task')} AS task FROM episodes WHERE episode_id IS NOT NULL),
+b AS (SELECT *, regexp_replace(cut, '^(episode|recording|ep|rec)[ _.:-]*', '') AS bare FROM e),
+keyed AS (SELECT DISTINCT episode_id, node FROM (
+  SELECT episode_id, 'r:' || coalesce('repo:' || repo, 'source:' || b.source, '') || ':' || CASE WHEN regexp_full_match(bare, '\\d+') THEN regexp_replace(bare, '^0+(\\d)', '\\1') ELSE bare END AS node FROM b LEFT JOIN repos ON b.source = repos.source WHERE bare <> ''
+  UNION ALL SELECT episode_id, 't:' || task FROM b WHERE task NOT IN ({', '.join(f"'{t}'" for t in splits.NO_TASK)}))),
+reach AS (SELECT DISTINCT episode_id, episode_id AS other FROM keyed UNION SELECT r.episode_id, y.episode_id FROM reach r JOIN keyed x ON x.episode_id = r.other JOIN keyed y ON y.node = x.node),
+g AS (SELECT episode_id, min(other) AS group_id, count(*) AS n FROM reach GROUP BY 1)
+SELECT episode_id, group_id FROM g WHERE n > 1
 """,
     "p6_round_trip": "SELECT doc_id, coalesce(text, '') AS text FROM documents",
 }
