@@ -90,3 +90,83 @@ def test_empty_nulls_and_extra_columns(spark):
     for c in ("_block", "w", "source", "s_pose", "v"):
         f, e = f.withColumn(c, F.lit(1)), e.withColumn(c, F.lit(1))
     assert spikes.implausible_readings(f, e).count() == 0
+
+
+def test_against_brute_force_on_the_smallest_tables(spark):
+    """Runs, bounds and spikes by plain loops over every side of the smallest tables."""
+    import collections
+    import os
+
+    import numpy as np
+    import pytest
+
+    folder = "/root/testdata/sf0.001"
+    if not os.path.isdir(folder):
+        pytest.skip("no test tables here")
+    read = lambda n: spark.read.parquet(f"{folder}/{n}.parquet")
+    rows, active = {}, collections.defaultdict(set)
+    for r in read("frames").collect():
+        k = (r.episode_id, r.side, r.frame_idx)
+        if k not in rows or (rows[k].q is None and r.q is not None):
+            rows[k] = r
+    for r in read("episodes").collect():
+        active[r.episode_id] |= {("right", "left").index(s) for s in r.active_sides or []}
+    sides = collections.defaultdict(list)
+    for k in sorted(rows):
+        sides[k[:2]].append(rows[k])
+
+    def rotation(p):
+        x, y, z, w = p.qx, p.qy, p.qz, p.qw
+        return np.array([w * w + x * x - y * y - z * z, 2 * (x * y + w * z), 2 * (x * z - w * y), 2 * (x * y - w * z), w * w - x * x + y * y - z * z, 2 * (y * z + w * x)])
+
+    def log(v):
+        return np.array([math.log(v)]) if v is not None and 0 < v < math.inf else None
+
+    quantities = {"pose": [(lambda r: np.array([r.pose.x, r.pose.y, r.pose.z]), 11.0, 0.0), (lambda r: rotation(r.pose), 14.0, 0.3)]}
+    quantities["q"] = [(lambda r, j=j: None if r.q is None else np.array([r.q[j]]), 14.0, 0.0) for j in range(7)]
+    for c in spikes.DIAGNOSTICS:
+        quantities[c] = [(lambda r, c=c: log(r[c]), 7.0, math.log(5.0))]
+    want = set()
+    for name, parts in quantities.items():
+        for get, times, least in parts:
+            steps = collections.defaultdict(list)
+            series = {s: [get(r) for r in rs] for s, rs in sides.items()}
+            for s, rs in sides.items():
+                for i in range(1, len(rs)):
+                    a, b = series[s][i - 1], series[s][i]
+                    if a is not None and b is not None and (d := np.linalg.norm(b - a)) > 0:
+                        steps["".join(ch for ch in rs[i].source_dataset.lower() if ch.isalnum())].append(d)
+            for s, rs in sides.items():
+                kept = [(v, r) for v, r in zip(series[s], rs) if name != "q" or r.q is not None]
+                for i, (v, r) in enumerate(kept):
+                    if v is None:
+                        continue
+                    near = [x for x, _ in kept[max(0, i - 3) : i + 4] if x is not None]
+                    mid = np.array([sorted(x[k] for x in near)[len(near) // 2] for k in range(len(v))])
+                    key = "".join(ch for ch in r.source_dataset.lower() if ch.isalnum())
+                    limit = max(times * float(np.median(steps[key])), least)
+                    off = np.linalg.norm(v - mid)
+                    back = max(limit, 0.3 * off)
+                    close = lambda part: any(x is not None and np.linalg.norm(x - mid) <= back for x, _ in part)
+                    if off > limit and close(kept[max(0, i - 3) : i]) and close(kept[i + 1 : i + 4]):
+                        want.add((*s, r.frame_idx, name))
+    readings = {"pose": [lambda r: (r.pose.x, r.pose.y, r.pose.z)], "q": [lambda r, j=j: None if r.q is None else r.q[j] for j in range(7)]} | {c: [lambda r, c=c: r[c] if r[c] < math.inf else None] for c in spikes.DIAGNOSTICS}
+    for s, rs in sides.items():
+        for name, gets in readings.items():
+            for get in gets:
+                start = 0
+                for i in range(1, len(rs) + 1):
+                    if i == len(rs) or get(rs[i]) is None or get(rs[i]) != get(rs[start]):
+                        if i - start >= 7:
+                            want |= {(*s, r.frame_idx, name) for r in rs[start + 1 : i]}
+                        start = i
+        for r in rs:
+            p = r.pose
+            bad = {
+                "pose": math.dist((0, 0, 0), (p.x, p.y, p.z)) >= 1.5 or abs(math.sqrt(p.qx**2 + p.qy**2 + p.qz**2 + p.qw**2) - 1) > 1e-3, "q": r.q is not None and max(map(abs, r.q)) > 2 * math.pi,
+                "position_error_m": r.position_error_m < 0, "orientation_error_rad": not 0 <= r.orientation_error_rad <= math.pi, "jacobian_condition": r.jacobian_condition < 1 or (r.jacobian_condition == math.inf and r.q is not None),
+            }
+            want |= {(*s, r.frame_idx, n) for n, b in bad.items() if b}
+    want = {(e, i, s, n) for e, s, i, n in want if s in active[e]}
+    got = {tuple(r) for r in spikes.implausible_readings(read("frames"), read("episodes")).collect()}
+    assert len(want) > 50 and got == want
