@@ -9,12 +9,22 @@ from armlode.functions.gripper import finger_angle
 from armlode.operators import sequence as S
 from armlode.operators.frames import canonical
 from armlode.operators.quality import Limits, column_statistics, feasible_frames
+from armlode.operators.scale import durable
+
+
+def kept_frames(frames: DataFrame, episodes: DataFrame, limits: Limits = Limits()) -> DataFrame:
+    """(episode_id, run, frame_idx): the feasible frames and the stretch that each is in."""
+    return S.run_ids(feasible_frames(frames, episodes, limits), ["episode_id"], ["frame_idx"], "feasible").filter("feasible").select("episode_id", "run", "frame_idx")
+
+
+def runs_of(kept: DataFrame) -> DataFrame:
+    """(episode_id, run, start, last, length): feasible stretches, each an episode of the dataset."""
+    return kept.groupBy("episode_id", "run").agg(F.min("frame_idx").alias("start"), F.max("frame_idx").alias("last"), F.count("*").alias("length"))
 
 
 def export_runs(frames: DataFrame, episodes: DataFrame, limits: Limits = Limits()) -> DataFrame:
-    """(episode_id, run, start, end, length): feasible stretches, each an episode of the dataset."""
-    d = S.run_ids(feasible_frames(frames, episodes, limits), ["episode_id"], ["frame_idx"], "feasible").filter("feasible")
-    return d.groupBy("episode_id", "run").agg(F.min("frame_idx").alias("start"), F.max("frame_idx").alias("last"), F.count("*").alias("length"))
+    """The feasible stretches of all episodes."""
+    return runs_of(kept_frames(frames, episodes, limits))
 
 
 def numbered_runs(runs: DataFrame, episodes: DataFrame) -> DataFrame:
@@ -47,8 +57,8 @@ def export_rows(frames: DataFrame, episodes: DataFrame, fps: int = 30, limits: L
 
     Frames of a run are numbered from 0 and timed i / fps: the source's times are left behind. ``index`` counts over all.
     """
-    runs = numbered_runs(export_runs(frames, episodes, limits), episodes)
-    kept = S.run_ids(feasible_frames(frames, episodes, limits), ["episode_id"], ["frame_idx"], "feasible").filter("feasible").select("episode_id", "run", "frame_idx")
+    kept = durable(kept_frames(frames, episodes, limits))  # used twice
+    runs = numbered_runs(runs_of(kept), episodes)
     w = Window.partitionBy("episode_id", "run").orderBy("frame_idx")
     placed = kept.withColumn("frame_index", (F.row_number().over(w) - 1).cast("bigint")).join(runs.select("episode_id", "run", "episode_index", "from_index", "task_index"), ["episode_id", "run"])
     rows = placed.join(joint_vector(frames), ["episode_id", "frame_idx"])
