@@ -7,6 +7,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from armlode.operators.frames import finite_or_null
 from armlode.operators.scale import bounded_broadcast, map_sorted_groups, with_blocks
 from armlode.sources.tables import source_key
 
@@ -196,11 +197,12 @@ def regular_grid(frames: DataFrame, episodes: DataFrame, source_config: DataFram
     values come from a Kalman smoother over level and slope in continuous time, with the noise of
     the source; they are null (NaN) only where the side has no reading within the block.
 
-    Rows without a time are no readings but show that the side is there. A null pose or gripper
+    Rows without a finite time are no readings but show that the side is there. A null pose or gripper
     is no value at that time. Rows sent again repeat a reading. Episodes without any time or rate
     have no grid. Empty tables give no rows, extra columns are ignored. Series longer than
     4096 slots are cut into blocks which also see the readings of 128 slots on either side.
     """
+    frames = frames.withColumn("t", finite_or_null(F.col("t")))
     grids = episode_grids(frames, episodes, source_config)
     rows = with_blocks(readings(frames, grids), "slot", BLOCK, HALO)
     params = bounded_broadcast(noise(rows))

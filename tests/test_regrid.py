@@ -89,5 +89,7 @@ def test_empty_nulls_and_extra_columns(spark):
     for n in ("slot", "kind", "_block", "t0", "source", "first"):
         f, e, c = f.withColumn(n, F.lit(1)), e.withColumn(n, F.lit(1)), c.withColumn(n, F.lit(1))
     assert regrid.regular_grid(f, e, c).count() == 4
+    odd = [frame(i=0), frame(i=1, t=math.nan), frame(i=2, t=math.inf), frame(i=3)]
+    assert sorted(r["slot"] for r in grid(spark, odd).filter("missing").collect()) == [1, 2]
     only_null = [(1, i, 0, "A b", i / 10, None, None, None, None, None, None, None, None, NOW) for i in range(3)]
     assert [r["missing"] for r in grid(spark, only_null).collect()] == [False] * 3
