@@ -407,3 +407,58 @@ def light_samples(rgba: DataFrame, background: DataFrame, stride: int = 8, opaqu
     long = per_frame(d, sample, "clip string, frame_idx long, front array<double>, back array<double>")
     levels = long.select("clip", F.lit("front").alias("layer"), F.explode("front").alias("v")).unionByName(long.select("clip", F.lit("back").alias("layer"), F.explode("back").alias("v")))
     return levels.groupBy("clip", "layer").agg(F.percentile("v", F.array(F.lit(0.1), F.lit(0.5), F.lit(0.9))).alias("levels"))
+
+
+def _lens_map(h: int, w: int, k: tuple[float, float, float, float], lens: tuple[float, ...]) -> tuple[np.ndarray, np.ndarray]:
+    """For every pixel of the image through the lens, where it lies in the ideal image: the lens model solved by fixed-point steps."""
+    fx, fy, cx, cy = k
+    k1, k2, p1, p2, k3 = lens
+    yy, xx = np.mgrid[:h, :w].astype(float)
+    xd, yd = (xx - cx) / fx, (yy - cy) / fy
+    x, y = xd.copy(), yd.copy()
+    for _ in range(12):
+        r2 = x * x + y * y
+        radial = 1 + r2 * (k1 + r2 * (k2 + r2 * k3))
+        dx, dy = 2 * p1 * x * y + p2 * (r2 + 2 * x * x), p1 * (r2 + 2 * y * y) + 2 * p2 * x * y
+        x, y = (xd - dx) / radial, (yd - dy) / radial
+    return y * fy + cy, x * fx + cx
+
+
+def _bilinear(a: np.ndarray, v: np.ndarray, u: np.ndarray) -> np.ndarray:
+    """Values [h, w, c] at (v, u); nothing lies outside."""
+    y0, x0 = np.floor(v).astype(int), np.floor(u).astype(int)
+    out = np.zeros((*v.shape, a.shape[2]))
+    for dy in (0, 1):
+        for dx in (0, 1):
+            yy, xx = y0 + dy, x0 + dx
+            weight = (1 - np.abs(v - yy)) * (1 - np.abs(u - xx))
+            inside = (yy >= 0) & (yy < a.shape[0]) & (xx >= 0) & (xx < a.shape[1])
+            out[inside] += weight[inside][:, None] * a[yy[inside], xx[inside]]
+    return out
+
+
+def through_lens(rgba: DataFrame, intrinsics: tuple[float, float, float, float], lens: tuple[float, float, float, float, float]) -> DataFrame:
+    """Ideal RGBA renders as the lens (k1, k2, p1, p2, k3) shows them; colours are sampled times alpha, so edges do not darken."""
+
+    def bend(d: dict) -> dict:
+        a = _get(d, "f").astype(float)
+        v, u = _lens_map(*a.shape[:2], intrinsics, lens)
+        s = _bilinear(np.concatenate([a[..., :3] * a[..., 3:] / 255, a[..., 3:]], axis=2), v, u)
+        alpha = s[..., 3:]
+        return _layer(d, np.clip(np.rint(np.concatenate([np.divide(s[..., :3] * 255, alpha, out=np.zeros_like(s[..., :3]), where=alpha > 0.5), alpha], axis=2)), 0, 255))
+
+    return per_frame(_side(rgba, "f"), bend, LAYER)
+
+
+def depth_through_lens(depth: DataFrame, intrinsics: tuple[float, float, float, float], lens: tuple[float, float, float, float, float], least_valid: float = 0.5) -> DataFrame:
+    """Ideal depth as the lens shows it: the mean of hits, where at least ``least_valid`` of the sample hits; elsewhere infinity."""
+
+    def bend(d: dict) -> dict:
+        z = np.asarray(d["depth_m"], dtype=float).reshape(int(d["h"]), int(d["w"]))
+        hit = np.isfinite(z)
+        v, u = _lens_map(*z.shape, intrinsics, lens)
+        s = _bilinear(np.stack([np.where(hit, z, 0.0), hit.astype(float)], axis=2), v, u)
+        out = np.where(s[..., 1] >= least_valid, s[..., 0] / np.maximum(s[..., 1], 1e-9), np.inf)
+        return {"clip": d["clip"], "frame_idx": d["frame_idx"], "h": d["h"], "w": d["w"], "depth_m": out.ravel().tolist()}
+
+    return per_frame(depth.select(*KEYS, "h", "w", "depth_m"), bend, "clip string, frame_idx long, h int, w int, depth_m array<float>")

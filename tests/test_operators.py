@@ -489,6 +489,28 @@ def test_more_image_operators(spark):
     assert l["front"] == [255.0] * 3 and l["back"] == [40.0] * 3
 
 
+def test_lens(spark):
+    a = np.zeros((40, 60, 4), dtype=np.uint8)
+    a[10:30, 15:45] = (200, 100, 50, 255)
+    k, none, lens = (50.0, 50.0, 29.5, 19.5), (0.0,) * 5, (-0.2, 0.05, 0.001, -0.001, 0.0)
+    same = PX.image(bytes(PX.through_lens(layer(spark, [a]), k, none).first()["data"]), 40, 60, 4)
+    assert (same == a).all()
+    v, u = PX._lens_map(40, 60, k, lens)
+    x, y = (u - k[2]) / k[0], (v - k[3]) / k[1]
+    r2 = x * x + y * y
+    f = 1 + r2 * (lens[0] + r2 * lens[1])
+    xd, yd = x * f + 2 * lens[2] * x * y + lens[3] * (r2 + 2 * x * x), y * f + lens[2] * (r2 + 2 * y * y) + 2 * lens[3] * x * y
+    yy, xx = np.mgrid[:40, :60]
+    assert np.abs(xd * k[0] + k[2] - xx).max() < 1e-2 and np.abs(yd * k[1] + k[3] - yy).max() < 1e-2
+    bent = PX.image(bytes(PX.through_lens(layer(spark, [a]), k, lens).first()["data"]), 40, 60, 4)
+    on = bent[..., 3] > 8
+    assert bent[..., 3].sum() < a[..., 3].astype(int).sum() and np.abs(bent[on][:, :3].astype(int) - [200, 100, 50]).max() <= 16
+    z = np.where(a[..., 3] > 0, 0.7, np.inf)
+    d = spark.createDataFrame([("c", 0, 40, 60, z.ravel().tolist())], "clip string, frame_idx long, h int, w int, depth_m array<float>")
+    out = np.array(PX.depth_through_lens(d, k, lens).first()["depth_m"])
+    assert np.allclose(out[np.isfinite(out)], 0.7, atol=1e-6) and 300 < np.isfinite(out).sum() <= 600
+
+
 def test_boxes(spark):
     box = "struct<xmin:double,ymin:double,xmax:double,ymax:double>"
     rows = [(0, 0, 0.9, (0.0, 0.0, 640.0, 480.0)), (0, 1, 0.8, (10.0, 100.0, 200.0, 300.0)), (0, 2, 0.7, (400.0, 100.0, 600.0, 300.0)), (0, 3, 0.7, (410.0, 100.0, 600.0, 300.0)), (0, 4, 0.99, (5.0, 5.0, 4.0, 9.0))]
