@@ -8,6 +8,7 @@ from armlode.functions import camera as C
 from armlode.functions import gripper as G
 from armlode.functions import pose as P
 from armlode.operators import frames as FR
+from armlode.operators import units as U
 from armlode.queries.sequence import ONE
 from armlode.sources.tables import source_key, table
 
@@ -76,22 +77,28 @@ def orientation_error(spark, base):
     return d.select(*KEYS, *[(F.round(c + TIE, 5) + 0.0).alias(n) for c, n in zip(e, ("ex", "ey", "ez"))])
 
 
+def _rotations(spark, base, *units):
+    return U.recorded_rotations(table(spark, base, "raw_frames"), table(spark, base, "source_config")).filter(F.col("rotation_unit").isin(*units))
+
+
 def euler_to_quat(spark, base):
-    raw = table(spark, base, "raw_frames").filter("size(pose) = 6").dropDuplicates(["record_id"])
-    q = P.euler_to_quaternion(*[F.get("pose", F.lit(i)) for i in (3, 4, 5)])
-    return raw.select("record_id", *[(F.round(c + TIE, 6) + 0.0).alias(n) for c, n in zip(q, ("qx", "qy", "qz", "qw"))])
+    """Records declared as Euler angles, degrees as radians."""
+    angles = [F.when(F.col("rotation_unit") == "euler_deg", F.radians(v)).otherwise(v) for v in (F.get("pose", F.lit(i)) for i in (3, 4, 5))]
+    q = P.euler_to_quaternion(*angles)
+    return _rotations(spark, base, "euler_rad", "euler_deg").select("record_id", *[(F.round(c + TIE, 6) + 0.0).alias(n) for c, n in zip(q, ("qx", "qy", "qz", "qw"))])
 
 
 def rotvec_to_quat(spark, base):
-    raw = table(spark, base, "raw_frames").filter("size(pose) = 6").dropDuplicates(["record_id"])
+    """Records declared as rotation vectors."""
     q = P.rotvec_to_quaternion(*[F.get("pose", F.lit(i)) for i in (3, 4, 5)])
-    return raw.select("record_id", *[(F.round(c + TIE, 6) + 0.0).alias(n) for c, n in zip(q, ("qx", "qy", "qz", "qw"))])
+    return _rotations(spark, base, "rotvec_rad").select("record_id", *[(F.round(c + TIE, 6) + 0.0).alias(n) for c, n in zip(q, ("qx", "qy", "qz", "qw"))])
 
 
 def quat_order(spark, base):
-    """wxyz read as xyzw: a reorder of the four values after the position."""
-    raw = table(spark, base, "raw_frames").filter("size(pose) = 8").dropDuplicates(["record_id"])
-    return raw.select("record_id", *[F.get("pose", F.lit(i)).alias(n) for i, n in ((4, "qx"), (5, "qy"), (6, "qz"), (3, "qw"))])
+    """Records declared as quaternions, as xyzw: those declared wxyz are reordered."""
+    v = lambda i: F.get("pose", F.lit(i))
+    q = [F.when(F.col("rotation_unit") == "quat_wxyz", v(w)).otherwise(v(x)).alias(n) for w, x, n in ((4, 3, "qx"), (5, 4, "qy"), (6, 5, "qz"), (3, 6, "qw"))]
+    return _rotations(spark, base, "quat_wxyz", "quat_xyzw").select("record_id", *q)
 
 
 def aperture_closure(spark, base):
