@@ -35,13 +35,17 @@ class Chain:
 class SolverSettings:
     """Fixed values of the solver."""
 
-    iterations: int = 60
+    iterations: int = 120
     damping: float = 0.05
     step: float = 0.2
     position_tolerance: float = 1e-3
     rotation_tolerance: float = 1e-2
     posture_gain: float = 0.02
     carry: float = 0.4
+    elbow: int = 3
+    elbow_turns: tuple[float, ...] = (-0.45, 0.45)
+    smoothing: float = 3.0
+    doubt: float = 0.03
 
 
 def default_chain() -> Chain:
@@ -90,22 +94,8 @@ def _rotvec(r: np.ndarray) -> np.ndarray:
     return v * np.where(s > 1e-9, np.arctan2(s, c) / np.maximum(s, 1e-9), 1.0)[..., None]
 
 
-def solve(chain: Chain, start: np.ndarray, p: np.ndarray, r: np.ndarray, settings: SolverSettings) -> dict[str, np.ndarray]:
-    """Damped least squares for many targets at once, with a pull to the start in the null space and steps clipped."""
-    q = start.copy()
-    for _ in range(settings.iterations):
-        tip, rot, places, axes = forward(chain, q)
-        dp, dr = p - tip, _rotvec(r @ rot.transpose(0, 2, 1))
-        live = (np.linalg.norm(dp, axis=1) > settings.position_tolerance) | (np.linalg.norm(dr, axis=1) > settings.rotation_tolerance)
-        if not live.any():
-            break
-        j = jacobian(tip, places, axes)
-        jt = j.transpose(0, 2, 1)
-        inv = np.linalg.inv(j @ jt + settings.damping**2 * np.eye(6))
-        step = (jt @ inv @ np.concatenate([dp, dr], axis=1)[..., None])[..., 0]
-        rest = settings.posture_gain * (start - q)
-        step += rest - (jt @ inv @ (j @ rest[..., None]))[..., 0]
-        q = np.where(live[:, None], np.clip(q + np.clip(step, -settings.step, settings.step), chain.lower, chain.upper), q)
+def evaluate(chain: Chain, q: np.ndarray, p: np.ndarray, r: np.ndarray, settings: SolverSettings) -> dict[str, np.ndarray]:
+    """Errors, condition and success of given joint angles."""
     tip, rot, places, axes = forward(chain, q)
     ep, er = np.linalg.norm(p - tip, axis=1), np.linalg.norm(_rotvec(r @ rot.transpose(0, 2, 1)), axis=1)
     s = np.linalg.svd(jacobian(tip, places, axes), compute_uv=False)
@@ -114,14 +104,54 @@ def solve(chain: Chain, start: np.ndarray, p: np.ndarray, r: np.ndarray, setting
     return {"q": q, "ep": ep, "er": er, "cond": cond, "ok": (ep <= settings.position_tolerance * 5) & (er <= settings.rotation_tolerance * 5)}
 
 
-def solve_episodes(frames: DataFrame, chain: Chain | None = None, settings: SolverSettings = SolverSettings()) -> DataFrame:
+def solve(chain: Chain, start: np.ndarray, p: np.ndarray, r: np.ndarray, settings: SolverSettings, posture: np.ndarray | None = None) -> dict[str, np.ndarray]:
+    """Damped least squares for many targets at once, with a pull to ``posture`` (the start) in the null space and steps clipped."""
+    q = start.copy()
+    posture = start if posture is None else posture
+    live = np.arange(len(q))
+    for _ in range(settings.iterations):
+        tip, rot, places, axes = forward(chain, q[live])
+        dp, dr = p[live] - tip, _rotvec(r[live] @ rot.transpose(0, 2, 1))
+        off = (np.linalg.norm(dp, axis=1) > settings.position_tolerance) | (np.linalg.norm(dr, axis=1) > settings.rotation_tolerance)
+        live = live[off]
+        if not len(live):
+            break
+        j = jacobian(tip[off], places[off], axes[off])
+        jt = j.transpose(0, 2, 1)
+        inv = np.linalg.inv(j @ jt + settings.damping**2 * np.eye(6))
+        step = (jt @ inv @ np.concatenate([dp[off], dr[off]], axis=1)[..., None])[..., 0]
+        rest = settings.posture_gain * (posture[live] - q[live])
+        step += rest - (jt @ inv @ (j @ rest[..., None]))[..., 0]
+        q[live] = np.clip(q[live] + np.clip(step, -settings.step, settings.step), chain.lower, chain.upper)
+    return evaluate(chain, q, p, r, settings)
+
+
+def restart_postures(chain: Chain, settings: SolverSettings) -> np.ndarray:
+    """[3, n]: where a failed frame is tried again: neutral, and neutral with the elbow turned either way."""
+    out = np.tile(chain.neutral, (1 + len(settings.elbow_turns), 1))
+    out[1:, settings.elbow] += settings.elbow_turns
+    return np.clip(out, chain.lower, chain.upper)
+
+
+def best_answers(answers: list[dict[str, np.ndarray]], last: np.ndarray, settings: SolverSettings) -> dict[str, np.ndarray]:
+    """Of several answers to the same targets the least by (failed, errors over their tolerances, distance to the last joints)."""
+    stacked = {k: np.stack([a[k] for a in answers]) for k in answers[0]}
+    errors = stacked["ep"] / settings.position_tolerance + stacked["er"] / settings.rotation_tolerance
+    first = np.lexsort((np.linalg.norm(stacked["q"] - last, axis=2), errors, ~stacked["ok"]), axis=0)[0]
+    return {k: v[first, np.arange(len(first))] for k, v in stacked.items()}
+
+
+def solve_episodes(frames: DataFrame, chain: Chain | None = None, settings: SolverSettings = SolverSettings(), smooth: bool = False) -> DataFrame:
     """(episode_id, side, frame_idx, q, ik_success, position_error_m, orientation_error_rad, jacobian_condition).
 
     Many episodes step together: frame i of all of them is one vectorised solve that starts from their frames before,
-    carried on by part of the last step. Where it fails it is tried again from the neutral posture, and the better answer
-    by (success, error) is kept. Poses with nulls or no rotation are not solved: q null, condition infinite.
+    carried on by part of the last step. Where it fails it is tried again from the neutral posture and from two with the elbow
+    turned, and the best answer by (success, errors, distance to the frame before) is kept. With ``smooth`` each
+    side's joints are then smoothed, failed frames weighing less, and errors, condition and success are those of the smoothed
+    joints, so frames next to a failed one may lose their success. Poses with nulls or no rotation are not solved: q null, condition infinite.
     """
     chain = chain or default_chain()
+    restarts = restart_postures(chain, settings)
     flat = frames.select("episode_id", "side", "frame_idx", *[F.col(f"pose.{k}").alias(k) for k in ("x", "y", "z", "qx", "qy", "qz", "qw")])
 
     def run(rows: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
@@ -146,12 +176,23 @@ def solve_episodes(frames: DataFrame, chain: Chain | None = None, settings: Solv
             a = solve(chain, guess, pos[at], rot[at], settings)
             bad = ~a["ok"]
             if bad.any():
-                b = solve(chain, np.tile(chain.neutral, (bad.sum(), 1)), pos[at[bad]], rot[at[bad]], settings)
-                better = b["ep"] + 0.1 * b["er"] < (a["ep"] + 0.1 * a["er"])[bad]
+                n_bad, n_from = int(bad.sum()), len(restarts)
+                posture = np.concatenate([np.tile(restarts[0], (n_bad, 1)), *[guess[bad]] * (n_from - 1)])
+                b = solve(chain, np.repeat(restarts, n_bad, axis=0), np.tile(pos[at[bad]], (n_from, 1)), np.tile(rot[at[bad]], (n_from, 1, 1)), settings, posture)
+                tries = [{k: v[m * n_bad : (m + 1) * n_bad] for k, v in b.items()} for m in range(n_from)]
+                best = best_answers([{k: v[bad] for k, v in a.items()}, *tries], last[which[bad]], settings)
                 for k in a:
-                    a[k][np.flatnonzero(bad)[better]] = b[k][better]
+                    a[k][bad] = best[k]
             q[at], ep[at], er[at], cond[at], ok[at] = a["q"], a["ep"], a["er"], a["cond"], a["ok"]
             before[which], last[which] = last[which], a["q"]
+        if smooth:
+            for first, end in zip(starts[:-1], starts[1:]):
+                have = fine[first:end]
+                if end - first > 2 and have.any():
+                    q[first:end] = np.clip(_smoothed(np.where(have[:, None], q[first:end], 0.0), have, ok[first:end], settings.smoothing, settings.doubt), chain.lower, chain.upper)
+        if smooth and fine.any():
+            a = evaluate(chain, q[fine], pos[fine], rot[fine], settings)
+            ep[fine], er[fine], cond[fine], ok[fine] = a["ep"], a["er"], a["cond"], a["ok"]
         return pd.DataFrame({"episode_id": rows["episode_id"], "side": rows["side"], "frame_idx": rows["frame_idx"], "q": [v if f else None for v, f in zip(q, fine)], "ik_success": ok, "position_error_m": ep, "orientation_error_rad": er, "jacobian_condition": cond})
 
     return map_sorted_groups(flat, ["episode_id", "side"], ["frame_idx"], run, "episode_id long, side byte, frame_idx long, q array<double>, ik_success boolean, position_error_m double, orientation_error_rad double, jacobian_condition double")
@@ -169,27 +210,32 @@ def smooth_trajectories(frames: DataFrame, weight: float = 3.0, doubt: float = 0
         out: list = [None] * len(rows)
         qs, good = rows["q"].tolist(), rows["good"].to_numpy(dtype=bool)
         for lo, hi in zip(starts[:-1], starts[1:]):
-            n = hi - lo
             have = np.array([v is not None and len(v) == 7 for v in qs[lo:hi]])
             if not have.any():
                 continue
             b = np.array([v if h else np.zeros(7) for v, h in zip(qs[lo:hi], have)], dtype=float)
-            w = np.where(have, np.where(good[lo:hi], 1.0, doubt), 1e-9)
-            d0, d1, d2 = w.copy(), np.zeros(n), np.zeros(n)
-            for c, k in ((1.0, 0), (4.0, 1), (1.0, 2)):
-                d0[k : n - 2 + k] += weight * c if n > 2 else 0.0
-            if n > 2:
-                d1[: n - 2] += -2.0 * weight
-                d1[1 : n - 1] += -2.0 * weight
-                d2[: n - 2] += weight
-            x = _pentadiagonal(d0, d1, d2, w[:, None] * b)
-            for i in range(n):
+            x = _smoothed(b, have, good[lo:hi], weight, doubt)
+            for i in range(hi - lo):
                 out[lo + i] = x[i].tolist()
         return pd.DataFrame({"episode_id": rows["episode_id"], "side": rows["side"], "frame_idx": rows["frame_idx"], "smooth": out})
 
     return map_sorted_groups(flat, ["episode_id", "side"], ["frame_idx"], run, "episode_id long, side byte, frame_idx long, smooth array<double>")
 
 
+def _smoothed(q: np.ndarray, have: np.ndarray, good: np.ndarray, weight: float, doubt: float) -> np.ndarray:
+    """One side's joints [n, k], smoothed; rows that are not there weigh nothing."""
+    n = len(q)
+    w = np.where(have, np.where(good, 1.0, doubt), 1e-9)
+    d0, d1, d2 = w.copy(), np.zeros(n), np.zeros(n)
+    for c, k in ((1.0, 0), (4.0, 1), (1.0, 2)):
+        d0[k : n - 2 + k] += weight * c if n > 2 else 0.0
+    if n > 2:
+        d1[: n - 2] += -2.0 * weight
+        d1[1 : n - 1] += -2.0 * weight
+        d2[: n - 2] += weight
+    return _pentadiagonal(d0, d1, d2, w[:, None] * q)
+
+
 def _pentadiagonal(d0: np.ndarray, d1: np.ndarray, d2: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Solves a symmetric positive five-diagonal system by its L D L^T form: one sweep down, one up."""
     n = len(d0)

@@ -18,7 +18,7 @@ def _frames(spark, base):
 
 
 def solve_chain(spark, base):
-    s = K.solve_episodes(_frames(spark, base))
+    s = K.solve_episodes(_frames(spark, base), smooth=True)
     return s.select("episode_id", "side", "frame_idx", "ik_success", *[F.round(c, 4).alias(c) for c in ("position_error_m", "orientation_error_rad")], F.round("jacobian_condition", 1).alias("jacobian_condition"))
 
 
