@@ -302,6 +302,19 @@ def harmonise(rgba: DataFrame, background: DataFrame, keep: float = 0.9) -> Data
     return raw.select(*KEYS, fold("gain").alias("gain"), fold("shift").alias("shift"))
 
 
+def harmonised(rgba: DataFrame, background: DataFrame, keep: float = 0.9) -> DataFrame:
+    """RGBA frames with the gain and shift of :func:`harmonise` on the colours of their set pixels; alpha stays."""
+
+    def adjust(d: dict) -> dict:
+        out = _get(d, "f").copy()
+        if pd.notna(d["gain"]):
+            on = out[..., 3] >= 8
+            out[on, :3] = np.clip(np.rint(out[on, :3] * d["gain"] + d["shift"]), 0, 255)
+        return _layer(d, out)
+
+    return per_frame(_side(rgba, "f").join(harmonise(rgba, background, keep), KEYS, "left"), adjust, LAYER)
+
+
 def union_masks(layers: DataFrame, threshold: int = 0) -> DataFrame:
     """One mask per frame from any number of layers of it (one row per object), by a grouped or."""
     rows = layers.groupBy(*KEYS).agg(F.first("h").alias("m_h"), F.first("w").alias("m_w"), F.first("c").alias("m_c"), F.collect_list("data").alias("all"))
@@ -396,17 +409,28 @@ def panels(**layers: DataFrame) -> DataFrame:
     return per_frame(joined(**layers), put, LAYER)
 
 
-def light_samples(rgba: DataFrame, background: DataFrame, stride: int = 8, opaque: int = 224) -> DataFrame:
-    """Per clip the 10th, 50th and 90th percentile of grey levels of opaque foreground and of background, over every ``stride``-th frame."""
+def light_samples(rgba: DataFrame, background: DataFrame, stride: int = 8, opaque: int = 224, masks: DataFrame | None = None) -> DataFrame:
+    """Per clip the 10th, 50th and 90th percentile of grey levels of opaque foreground and of background, over every ``stride``-th frame.
+
+    With ``masks`` only the background's masked pixels count. Each frame gives its levels with their counts.
+    """
+
+    masked = masks is not None
+
+    def counted(x: np.ndarray) -> list[dict]:
+        v, n = np.unique(x, return_counts=True)
+        return [{"v": float(a), "n": int(k)} for a, k in zip(v, n)]
 
     def sample(d: dict) -> dict:
         f, b = _get(d, "f").astype(float), _get(d, "b").astype(float)
-        return {"clip": d["clip"], "frame_idx": d["frame_idx"], "front": f[..., :3].mean(axis=2)[f[..., 3] >= opaque].tolist(), "back": (b if b.ndim == 2 else b.mean(axis=2)).ravel().tolist()}
-
-    d = joined(f=rgba, b=background).filter(F.col("frame_idx") % stride == 0)
-    long = per_frame(d, sample, "clip string, frame_idx long, front array<double>, back array<double>")
-    levels = long.select("clip", F.lit("front").alias("layer"), F.explode("front").alias("v")).unionByName(long.select("clip", F.lit("back").alias("layer"), F.explode("back").alias("v")))
-    return levels.groupBy("clip", "layer").agg(F.percentile("v", F.array(F.lit(0.1), F.lit(0.5), F.lit(0.9))).alias("levels"))
+        b = b if b.ndim == 2 else b.mean(axis=2)
+        return {"clip": d["clip"], "frame_idx": d["frame_idx"], "front": counted(f[..., :3].mean(axis=2)[f[..., 3] >= opaque]), "back": counted(b[_get(d, "m", 0)] if masked else b)}
+
+    d = joined(f=rgba, b=background, **({"m": masks} if masked else {})).filter(F.col("frame_idx") % stride == 0)
+    long = per_frame(d, sample, "clip string, frame_idx long, front array<struct<v:double,n:long>>, back array<struct<v:double,n:long>>")
+    layers = F.explode(F.array(*[F.struct(F.lit(n).alias("layer"), F.col(n).alias("levels")) for n in ("front", "back")]))
+    levels = long.select("clip", layers.alias("l")).select("clip", "l.layer", F.explode("l.levels").alias("p")).groupBy("clip", "layer", F.col("p.v").alias("v")).agg(F.sum("p.n").alias("n"))
+    return levels.groupBy("clip", "layer").agg(F.percentile("v", F.array(F.lit(0.1), F.lit(0.5), F.lit(0.9)), F.col("n")).alias("levels"))
 
 
 def _lens_map(h: int, w: int, k: tuple[float, float, float, float], lens: tuple[float, ...]) -> tuple[np.ndarray, np.ndarray]:

@@ -84,15 +84,16 @@ def _greyed(v, m):
 
 
 def render_checks(spark, base):
-    """What renders show of the grippers, and that their alpha is unchanged by compositing order."""
+    """What renders show of the grippers, and the frames whose alpha harmonising them with the video changes."""
     d = _frames(spark, base)
     r = rasters(d, "rgba")
-    return PX.render_report(r).join(PX.same_alpha(r, r).select("clip", "different"), "clip").select("clip", "frames", "empty", F.round("visible_fraction", 6).alias("visible_fraction"), "ok", "different")
+    return PX.render_report(r).join(PX.same_alpha(r, PX.harmonised(r, rasters(d, "video"))).select("clip", "different"), "clip").select("clip", "frames", "empty", F.round("visible_fraction", 6).alias("visible_fraction"), "ok", "different")
 
 
 def light_levels(spark, base):
+    """Levels of the render and of the video under the mask, over all frames."""
     d = _frames(spark, base)
-    return PX.light_samples(rasters(d, "rgba"), rasters(d, "video")).select("clip", "layer", F.transform("levels", lambda x: F.round(x, 3)).alias("levels"))
+    return PX.light_samples(rasters(d, "rgba"), rasters(d, "video"), stride=1, masks=rasters(d, "mask")).select("clip", "layer", F.transform("levels", lambda x: F.round(x, 3)).alias("levels"))
 
 
 def detection_boxes(spark, base):
