@@ -15,6 +15,8 @@ POSE = ("x", "y", "z", "qx", "qy", "qz", "qw")
 DIMS = (*POSE, "gripper")
 #: Slots per block of one side's series, and the slots on either side whose readings a block also sees.
 BLOCK, HALO = 4096, 128
+#: Readings on either side that a block takes from the nearest block that has any, whatever its distance.
+FAR = 64
 #: Noise of a source without enough readings: of a reading, and its trend's wandering per second cubed.
 LEAST_NOISE, LEAST_WANDER = 1e-4, 1e-3
 
@@ -52,7 +54,35 @@ def slot_of(t: str) -> Column:
 def readings(frames: DataFrame, grids: DataFrame) -> DataFrame:
     """Rows with a time, with their slot; of rows of one side and time one is kept."""
     flat = frames.filter("t is not null").select("episode_id", "side", "t", *[F.col(f"pose.{k}").alias(k) for k in POSE], "gripper")
-    return flat.join(grids.select("episode_id", "source", "t0", "fps"), "episode_id").withColumn("slot", slot_of("t"))
+    return flat.join(grids.select("episode_id", "source", "t0", "fps", "last_slot"), "episode_id").withColumn("slot", slot_of("t"))
+
+
+def far_readings(rows: DataFrame, heads: DataFrame) -> DataFrame:
+    """For each block of ``heads`` the readings nearest to it beyond its halo: (episode_id, side, _block, t, slot, values).
+
+    Each block of ``rows`` keeps its first and last ``FAR`` poses and grippers; a block then takes those
+    of the nearest block before and after it that has any, over one row per block. Poses and grippers come as rows of their own.
+    """
+    series, keys = ["episode_id", "side"], ["episode_id", "side", "_block"]
+    core = rows.filter(F.col("_core") & (F.col("last_slot") >= BLOCK))
+    blocks = heads.select(*keys, "first", "last")
+    out = None
+    for names in (POSE, ("gripper",)):
+        have = core.filter(F.coalesce(*names).isNotNull())
+        reading = F.struct("t", "slot", *names)
+        ends = have.withColumns({"up": F.row_number().over(Window.partitionBy(*keys).orderBy("t", *names)), "down": F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("t"), *[F.desc(n) for n in names]))})
+        kept = ends.filter((F.col("up") <= FAR) | (F.col("down") <= FAR)).groupBy(*keys).agg(F.collect_list(F.when(F.col("down") <= FAR, reading)).alias("before"), F.collect_list(F.when(F.col("up") <= FAR, reading)).alias("after"))
+        order = Window.partitionBy(*series).orderBy("_block")
+        near = blocks.join(kept, keys, "left").select(
+            *keys, "first", "last",
+            F.last("before", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1)).alias("before"),
+            F.first("after", ignorenulls=True).over(order.rowsBetween(1, Window.unboundedFollowing)).alias("after"),
+        )
+        none = F.array().cast(near.schema["before"].dataType)
+        far = near.select(*keys, "first", "last", F.explode(F.concat(F.coalesce("before", none), F.coalesce("after", none))).alias("r")).select(*keys, "first", "last", "r.*")
+        far = far.filter((F.col("slot") < F.col("first") - HALO) | (F.col("slot") > F.col("last") + HALO)).drop("first", "last")
+        out = far if out is None else out.unionByName(far, allowMissingColumns=True)
+    return out
 
 
 def noise(rows: DataFrame) -> DataFrame:
@@ -166,9 +196,10 @@ def _fill(rows: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
             n, m = len(times), hi[g] - lo[g] - 1
             t[:n, j], t[n:, j] = times[order], times[order[-1]]
             v = values[own].copy()
-            with np.errstate(invalid="ignore"):
-                flip = np.sign(np.nansum(v[1:, 3:7] * v[:-1, 3:7], axis=1))
-            v[1:, 3:7] *= np.cumprod(np.where(flip < 0, -1.0, 1.0))[:, None]
+            turned = np.flatnonzero(~np.isnan(v[:, 3:7]).all(axis=1))
+            if len(turned) > 1:
+                flip = np.nansum(v[turned[1:], 3:7] * v[turned[:-1], 3:7], axis=1)
+                v[turned[1:], 3:7] *= np.cumprod(np.where(flip < 0, -1.0, 1.0))[:, None]
             place = np.empty(n, dtype=int)
             place[order] = np.arange(n)
             z[place[:m], j] = v
@@ -195,12 +226,13 @@ def regular_grid(frames: DataFrame, episodes: DataFrame, source_config: DataFram
     (episode_id, side, slot, t, missing, pose and gripper, their standard deviations). Slot k lies
     at t0 + k / fps. ``missing`` means that no reading of this side is nearest to the slot. The
     values come from a Kalman smoother over level and slope in continuous time, with the noise of
-    the source; they are null (NaN) only where the side has no reading within the block.
+    the source; they are null (NaN) only where the side has no reading at all.
 
     Rows without a finite time are no readings but show that the side is there. A null pose or gripper
     is no value at that time. Rows sent again repeat a reading. Episodes without any time or rate
     have no grid. Empty tables give no rows, extra columns are ignored. Series longer than
-    4096 slots are cut into blocks which also see the readings of 128 slots on either side.
+    4096 slots are cut into blocks which also see the readings of 128 slots on either side, and beyond
+    them up to ``FAR`` readings of the nearest block with any, so no gap is filled from one end alone.
     """
     frames = frames.withColumn("t", finite_or_null(F.col("t")))
     grids = episode_grids(frames, episodes, source_config)
@@ -214,11 +246,13 @@ def regular_grid(frames: DataFrame, episodes: DataFrame, source_config: DataFram
         .join(params, "source", "left")
         .select(
             "episode_id", "side", "_block", F.lit(0).alias("kind"), "t0", "fps", (F.col("_block") * BLOCK).alias("first"), F.least("last_slot", (F.col("_block") + 1) * BLOCK - 1).alias("last"),
-            *[F.coalesce(c, F.lit(LEAST_WANDER if c.endswith("q") else LEAST_NOISE)).alias(c) for c in names],
+            top.alias("top"), *[F.coalesce(c, F.lit(LEAST_WANDER if c.endswith("q") else LEAST_NOISE)).alias(c) for c in names],
         )
     )
     given = rows.select("episode_id", "side", "_block", F.lit(1).alias("kind"), "t", "slot", *DIMS)
-    return map_sorted_groups(heads.unionByName(given, allowMissingColumns=True), ["episode_id", "side", "_block"], ["kind", "t"], _fill, SCHEMA)
+    far = far_readings(rows, heads.filter(F.col("top") > 0)).withColumn("kind", F.lit(1))
+    given = given.unionByName(far, allowMissingColumns=True)
+    return map_sorted_groups(heads.drop("top").unionByName(given, allowMissingColumns=True), ["episode_id", "side", "_block"], ["kind", "t"], _fill, SCHEMA)
 
 
 def missing_slots(frames: DataFrame, episodes: DataFrame, source_config: DataFrame) -> DataFrame:
