@@ -83,8 +83,9 @@ def related_groups(episodes: DataFrame, source_config: DataFrame) -> DataFrame:
     episode; null ids are dropped; empty tables give no rows.
     """
     rel = durable(relations(episodes, source_config))
-    per = rel.groupBy("episode_id").agg(F.min("node").alias("a"), F.max("node").alias("b"))
-    labels = components(per.select("a", "b").distinct())
+    per = rel.groupBy("episode_id").agg(F.min("node").alias("a"))
+    # copies of an episode may differ, so it can have more than two nodes
+    labels = components(rel.join(per, "episode_id").select("a", F.col("node").alias("b")).distinct())
     member = per.join(labels.withColumnRenamed("node", "a"), "a")
     least = member.groupBy("label").agg(F.min("episode_id").alias("group_id"))
     alone = episodes.select("episode_id").filter("episode_id is not null").distinct()
