@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Callable, Iterator
+import uuid
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Rows that a side may hold at most to be sent to every executor.
@@ -27,17 +28,35 @@ def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFram
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """``df`` written to the checkpoint folder and read from there: lineage is cut and losses are survived.
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The shared folder for intermediate data: the session's ``spark.checkpoint.dir``.
 
-    The folder is the session's ``spark.checkpoint.dir``; where it is unset (tests), a local one is set.
+    Where it is unset, a local session (tests) gets a temporary folder; a cluster gets an error, as its executors
+    would each write to a disk of their own.
     """
-    sc = df.sparkSession.sparkContext
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="armlode-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if named is None and not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="armlode-"))
+    return sc.getCheckpointDir()
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """``df`` written to the checkpoint folder and read from there: lineage is cut and losses are survived."""
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written as a Parquet table in the checkpoint folder: like :func:`durable`, but read again column by column."""
+    spark = df.sparkSession
+    path = f"{checkpoint_folder(spark)}/table-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def with_blocks(df: DataFrame, position: str | Column, block: int, halo: int) -> DataFrame:
     """Adds ``_block`` and ``_core``: each row once as core of its block, and as halo of a neighbour it is near to.
 
@@ -52,6 +71,44 @@ def with_blocks(df: DataFrame, position: str | Column, block: int, halo: int) ->
     return df.withColumn("_own", own).withColumn("_block", F.explode(blocks)).withColumn("_core", F.col("_block") == F.col("_own")).drop("_own")
 
 
+def with_neighbours(df: DataFrame, keys: Sequence[str], position: str, block: int, halo: int, near: int, having: Sequence[Column] = ()) -> DataFrame:
+    """:func:`with_blocks`, and for each block also the rows nearest to it beyond its halo, however far they lie.
+
+    A block gets at least the ``near`` rows before and after it, and as many of those for which each of ``having`` holds.
+    Which places hold rows is gathered as one short list per block; only where rows are sparse at an edge are rows
+    fetched from afar, by an equi join on small buckets of places.
+    """
+    width = max(1, halo // near)
+    pos = F.coalesce(F.col(position), F.lit(0)).cast("long")
+    bucket, own = F.floor(pos / width).cast("long"), F.floor(pos / block).cast("long")
+    conditions = [F.lit(True), *having]
+    sets = df.groupBy(*keys, own.alias("_block")).agg(*[F.array_sort(F.collect_set(F.when(c, bucket))).alias(f"_s{i}") for i, c in enumerate(conditions)])
+    order = Window.partitionBy(*keys).orderBy("_block")
+    low, high = F.col("_block") * block - halo, (F.col("_block") + 1) * block + halo
+    last = lambda c: F.reverse(F.slice(F.reverse(c), 1, near))
+    far = []
+    for i in range(len(conditions)):
+        held = F.col(f"_s{i}")
+        some = F.size(held) > 0
+        of_held = Window.partitionBy(*keys, some).orderBy("_block")
+        sets = sets.withColumns({
+            f"_u{i}": F.when(some, last(F.flatten(F.collect_list(last(held)).over(of_held.rowsBetween(1 - near, 0))))),
+            f"_d{i}": F.when(some, F.slice(F.flatten(F.collect_list(F.slice(held, 1, near)).over(of_held.rowsBetween(0, near - 1))), 1, near)),
+        })
+    for i in range(len(conditions)):
+        sets = sets.withColumns({
+            f"_u{i}": F.last(f"_u{i}", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1)),
+            f"_d{i}": F.first(f"_d{i}", ignorenulls=True).over(order.rowsBetween(1, Window.unboundedFollowing)),
+        })
+        none = F.array().cast("array<bigint>")
+        far += [F.filter(F.coalesce(f"_u{i}", none), lambda b: b * width < low), F.filter(F.coalesce(f"_d{i}", none), lambda b: (b + 1) * width > high)]
+    wanted = sets.select(*keys, F.col("_block").alias("_to"), F.explode(F.array_distinct(F.concat(*far))).alias("_bucket"))
+    hit = df.withColumn("_bucket", bucket).join(bounded_broadcast(wanted), [*keys, "_bucket"])
+    beyond = (pos < F.col("_to") * block - halo) | (pos >= (F.col("_to") + 1) * block + halo)
+    extra = hit.filter(beyond).select(*df.columns, F.col("_to").alias("_block"), F.lit(False).alias("_core"))
+    return with_blocks(df, position, block, halo).unionByName(extra)
+
+
 def sorted_groups(frames: Iterator[pd.DataFrame], keys: list[str], rows: int = 60_000) -> Iterator[tuple[pd.DataFrame, np.ndarray]]:
     """Whole groups from a partition whose rows are sorted by ``keys``.
 
@@ -90,8 +147,8 @@ def sorted_groups(frames: Iterator[pd.DataFrame], keys: list[str], rows: int = 6
         yield cut(held)
 
 
-def map_sorted_groups(df: DataFrame, keys: list[str], order: list[str], fn: Callable[[pd.DataFrame, np.ndarray], pd.DataFrame], schema: str) -> DataFrame:
-    """Applies ``fn`` to whole groups of ``keys``, many at a time, after one shuffle and one sort.
+def map_sorted_groups(df: DataFrame, keys: list[str], order: Sequence[str | Column], fn: Callable[[pd.DataFrame, np.ndarray], pd.DataFrame], schema: str, drop: Sequence[str] = ()) -> DataFrame:
+    """Applies ``fn`` to whole groups of ``keys``, many at a time, after one shuffle and one sort; columns of ``drop`` only order rows.
 
     ``fn`` gets complete groups and their starts. Unlike a call per group, thousands of short
     groups share one vectorised call.
@@ -103,4 +160,4 @@ def map_sorted_groups(df: DataFrame, keys: list[str], order: list[str], fn: Call
             if len(out):
                 yield out
 
-    return df.repartition(*keys).sortWithinPartitions(*keys, *order).mapInPandas(run, schema)
+    return df.repartition(*keys).sortWithinPartitions(*keys, *order).drop(*drop).mapInPandas(run, schema)

@@ -81,6 +81,20 @@ def test_blocks_of_a_long_series_agree_with_one(spark, monkeypatch):
     assert found(spark, rows) == whole and len(whole) == 23
 
 
+def test_rows_beyond_a_block_edge_count_however_far(spark, monkeypatch):
+    rows = base(60)
+    rows[30][5] = (rows[30][5][0] + 0.6, *rows[30][5][1:])
+    for i in range(27, 36):
+        rows[i][8] = rows[27][8]
+    for i, r in enumerate(rows):  # rows in pairs, far apart: no block holds the neighbours of its own rows
+        r[1] = i // 2 * 1000 + i % 2
+    rows = [tuple(r) for r in rows]
+    monkeypatch.setattr(spikes, "BLOCK", 1 << 20)
+    whole = found(spark, rows)
+    monkeypatch.setattr(spikes, "BLOCK", 256)
+    assert found(spark, rows) == whole and len(whole) == 9
+
+
 def test_empty_nulls_and_extra_columns(spark):
     f, e, _ = tables(spark)
     assert spikes.implausible_readings(f, e).count() == 0
