@@ -8,14 +8,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from armlode.operators.frames import finite_or_null
-from armlode.operators.scale import bounded_broadcast, map_sorted_groups, with_blocks
+from armlode.operators.scale import bounded_broadcast, map_sorted_groups, stored, with_blocks
 from armlode.sources.tables import source_key
 
 POSE = ("x", "y", "z", "qx", "qy", "qz", "qw")
 DIMS = (*POSE, "gripper")
 #: Slots per block of one side's series, and the slots on either side whose readings a block also sees.
 BLOCK, HALO = 4096, 128
-#: Readings on either side that a block takes from the nearest block that has any, whatever its distance.
+#: Readings before and after a block that it takes whatever their distance, of pose and of gripper.
 FAR = 64
 #: Noise of a source without enough readings: of a reading, and its trend's wandering per second cubed.
 LEAST_NOISE, LEAST_WANDER = 1e-4, 1e-3
@@ -57,32 +57,46 @@ def readings(frames: DataFrame, grids: DataFrame) -> DataFrame:
     return flat.join(grids.select("episode_id", "source", "t0", "fps", "last_slot"), "episode_id").withColumn("slot", slot_of("t"))
 
 
-def far_readings(rows: DataFrame, heads: DataFrame) -> DataFrame:
-    """For each block of ``heads`` the readings nearest to it beyond its halo: (episode_id, side, _block, t, slot, values).
+def far_readings(rows: DataFrame, heads: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What each block of ``heads`` takes from beyond its halo: the nearest readings, and the sign of its quaternions.
 
-    Each block of ``rows`` keeps its first and last ``FAR`` poses and grippers; a block then takes those
-    of the nearest block before and after it that has any, over one row per block. Poses and grippers come as rows of their own.
+    The first result, (episode_id, side, _block, t, slot, values), has the ``FAR`` poses and grippers nearest before and after
+    a block, over however many blocks. Each block keeps its first and last ones; windows over one row a block
+    hand them on. The second, (episode_id, side, _block, anchor_t, anchor_sign), says by what sign the last pose before a block
+    is multiplied when the signs of a whole series are made continuous.
     """
     series, keys = ["episode_id", "side"], ["episode_id", "side", "_block"]
-    core = rows.filter(F.col("_core") & (F.col("last_slot") >= BLOCK))
+    core = rows.filter(F.col("last_slot") >= BLOCK).withColumn("_block", F.floor(F.col("slot") / BLOCK).cast("long"))
     blocks = heads.select(*keys, "first", "last")
-    out = None
+    of, within = Window.partitionBy(*series).orderBy("_block"), Window.partitionBy(*keys)
+    earlier, later = of.rowsBetween(Window.unboundedPreceding, -1), of.rowsBetween(1, Window.unboundedFollowing)
+    ending = lambda c: F.reverse(F.slice(F.reverse(c), 1, FAR))
+    quat = POSE[3:]
+    turned = lambda a, b: F.when(sum((a[k] * b[k] for k in quat[1:]), a[quat[0]] * b[quat[0]]) < 0, 1).otherwise(0)
+    far = anchors = None
     for names in (POSE, ("gripper",)):
-        have = core.filter(F.coalesce(*names).isNotNull())
-        reading = F.struct("t", "slot", *names)
-        ends = have.withColumns({"up": F.row_number().over(Window.partitionBy(*keys).orderBy("t", *names)), "down": F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("t"), *[F.desc(n) for n in names]))})
-        kept = ends.filter((F.col("up") <= FAR) | (F.col("down") <= FAR)).groupBy(*keys).agg(F.collect_list(F.when(F.col("down") <= FAR, reading)).alias("before"), F.collect_list(F.when(F.col("up") <= FAR, reading)).alias("after"))
-        order = Window.partitionBy(*series).orderBy("_block")
-        near = blocks.join(kept, keys, "left").select(
-            *keys, "first", "last",
-            F.last("before", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1)).alias("before"),
-            F.first("after", ignorenulls=True).over(order.rowsBetween(1, Window.unboundedFollowing)).alias("after"),
-        )
+        have = core.filter(F.coalesce(*names).isNotNull()).select(*keys, F.struct("t", "slot", *names).alias("r"))
+        ends = have.withColumns({"up": F.row_number().over(within.orderBy("r")), "down": F.row_number().over(within.orderBy(F.desc("r")))})
+        aggs = [F.array_sort(F.collect_list(F.when(F.col("down") <= FAR, F.col("r")))).alias("before"), F.array_sort(F.collect_list(F.when(F.col("up") <= FAR, F.col("r")))).alias("after")]
+        if names == POSE:
+            ends = ends.withColumn("flip", turned(F.col("r"), F.lag("r").over(within.orderBy("r"))))
+            aggs += [F.sum("flip").alias("flips")]
+        kept = ends.groupBy(*keys).agg(*aggs)
+        handed = {"before": ending(F.flatten(F.collect_list("before").over(of.rowsBetween(1 - FAR, 0)))), "after": F.slice(F.flatten(F.collect_list("after").over(of.rowsBetween(0, FAR - 1))), 1, FAR)}
+        if names == POSE:
+            across = turned(F.get("after", F.lit(0)), F.lag(F.element_at("before", -1)).over(of))
+            kept = kept.withColumn("turns", F.col("flips") + across).withColumn("turns", F.sum("turns").over(of.rowsBetween(Window.unboundedPreceding, 0)))
+            handed["anchor"] = F.struct(F.element_at("before", -1)["t"].alias("t"), F.when(F.col("turns") % 2 == 0, 1.0).otherwise(-1.0).alias("sign"))
+        near = blocks.join(kept.withColumns(handed), keys, "left")
+        if names == POSE:
+            last = F.last("anchor", ignorenulls=True).over(earlier)
+            anchors = near.select(*keys, last["t"].alias("anchor_t"), last["sign"].alias("anchor_sign"))
+        near = near.select(*keys, "first", "last", F.last("before", ignorenulls=True).over(earlier).alias("before"), F.first("after", ignorenulls=True).over(later).alias("after"))
         none = F.array().cast(near.schema["before"].dataType)
-        far = near.select(*keys, "first", "last", F.explode(F.concat(F.coalesce("before", none), F.coalesce("after", none))).alias("r")).select(*keys, "first", "last", "r.*")
-        far = far.filter((F.col("slot") < F.col("first") - HALO) | (F.col("slot") > F.col("last") + HALO)).drop("first", "last")
-        out = far if out is None else out.unionByName(far, allowMissingColumns=True)
-    return out
+        taken = near.select(*keys, "first", "last", F.explode(F.concat(F.coalesce("before", none), F.coalesce("after", none))).alias("r")).select(*keys, "first", "last", "r.*")
+        taken = taken.filter((F.col("slot") < F.col("first") - HALO) | (F.col("slot") > F.col("last") + HALO)).drop("first", "last")
+        far = taken if far is None else far.unionByName(taken, allowMissingColumns=True)
+    return far, anchors
 
 
 def noise(rows: DataFrame) -> DataFrame:
@@ -98,7 +112,7 @@ def noise(rows: DataFrame) -> DataFrame:
         parts = [F.col(n) - (F.lag(n, k).over(order) + F.lead(n, k).over(order)) / 2 for n in names]
         return F.sqrt(sum((p * p for p in parts[1:]), parts[0] * parts[0]) / len(names))
 
-    steps = rows.select("source", F.least((F.lead("t").over(order) - F.lag("t").over(order)) / 2, F.lit(10.0)).alias("dt"), *[off(k, n).alias(f"{g}{k}") for g, n in groups.items() for k in (1, 2)])
+    steps = rows.select("source", "_core", F.least((F.lead("t").over(order) - F.lag("t").over(order)) / 2, F.lit(10.0)).alias("dt"), *[off(k, n).alias(f"{g}{k}") for g, n in groups.items() for k in (1, 2)]).filter("_core")
     median = lambda c: F.percentile_approx(F.when(~F.isnan(c), F.col(c)), 0.5, 1000)
     meds = steps.groupBy("source").agg(median("dt").alias("dt"), *[median(f"{g}{k}").alias(f"{g}{k}") for g in groups for k in (1, 2)])
     out = []
@@ -197,9 +211,13 @@ def _fill(rows: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
             t[:n, j], t[n:, j] = times[order], times[order[-1]]
             v = values[own].copy()
             turned = np.flatnonzero(~np.isnan(v[:, 3:7]).all(axis=1))
-            if len(turned) > 1:
+            if len(turned):
                 flip = np.nansum(v[turned[1:], 3:7] * v[turned[:-1], 3:7], axis=1)
-                v[turned[1:], 3:7] *= np.cumprod(np.where(flip < 0, -1.0, 1.0))[:, None]
+                sign = np.append(1.0, np.cumprod(np.where(flip < 0, -1.0, 1.0)))
+                known = np.flatnonzero(col["t"][own][turned] == col["anchor_t"][lo[g]])
+                if len(known):
+                    sign *= sign[known[-1]] * col["anchor_sign"][lo[g]]
+                v[turned, 3:7] *= sign[:, None]
             place = np.empty(n, dtype=int)
             place[order] = np.arange(n)
             z[place[:m], j] = v
@@ -232,11 +250,13 @@ def regular_grid(frames: DataFrame, episodes: DataFrame, source_config: DataFram
     is no value at that time. Rows sent again repeat a reading. Episodes without any time or rate
     have no grid. Empty tables give no rows, extra columns are ignored. Series longer than
     4096 slots are cut into blocks which also see the readings of 128 slots on either side, and beyond
-    them up to ``FAR`` readings of the nearest block with any, so no gap is filled from one end alone.
+    them the ``FAR`` nearest readings before and after, wherever they lie: as a smoother forgets what lies 64 readings away, the
+    result is that of the whole series. Signs of quaternions run on over blocks.
     """
     frames = frames.withColumn("t", finite_or_null(F.col("t")))
-    grids = episode_grids(frames, episodes, source_config)
-    rows = with_blocks(readings(frames, grids), "slot", BLOCK, HALO)
+    grids = stored(episode_grids(frames, episodes, source_config))
+    placed = stored(readings(frames, grids))
+    rows = with_blocks(placed, "slot", BLOCK, HALO)
     params = bounded_broadcast(noise(rows))
     names = ["pose_r", "pose_q", "rot_r", "rot_q", "grip_r", "grip_q"]
     top = F.floor(F.col("last_slot") / BLOCK)
@@ -250,9 +270,10 @@ def regular_grid(frames: DataFrame, episodes: DataFrame, source_config: DataFram
         )
     )
     given = rows.select("episode_id", "side", "_block", F.lit(1).alias("kind"), "t", "slot", *DIMS)
-    far = far_readings(rows, heads.filter(F.col("top") > 0)).withColumn("kind", F.lit(1))
-    given = given.unionByName(far, allowMissingColumns=True)
-    return map_sorted_groups(heads.drop("top").unionByName(given, allowMissingColumns=True), ["episode_id", "side", "_block"], ["kind", "t"], _fill, SCHEMA)
+    far, anchors = far_readings(placed, heads.filter(F.col("top") > 0))
+    given = given.unionByName(far.withColumn("kind", F.lit(1)), allowMissingColumns=True)
+    led = heads.drop("top").join(anchors, ["episode_id", "side", "_block"], "left")
+    return map_sorted_groups(led.unionByName(given, allowMissingColumns=True), ["episode_id", "side", "_block"], ["kind", "t"], _fill, SCHEMA)
 
 
 def missing_slots(frames: DataFrame, episodes: DataFrame, source_config: DataFrame) -> DataFrame:
