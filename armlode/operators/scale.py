@@ -57,6 +57,29 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows that a key may have before a join counts it as hot.
+HOT_ROWS = 100_000
+
+
+def hot_keys(df: DataFrame, key: str, rows: int = HOT_ROWS) -> DataFrame:
+    """(key, _salts): the keys with more than ``rows`` rows, and over how many parts to spread them.
+
+    The 1024 largest at most, which are broadcast: any other key has less than a 1024th of all rows, whatever the data. Counts are partial before they are shuffled.
+    """
+    counts = df.groupBy(key).agg(F.count("*").alias("_n")).filter(F.col("_n") > rows)
+    return bounded_broadcast(counts.orderBy(F.desc("_n"), key).limit(1024).select(key, F.ceil(F.col("_n") / rows).cast("int").alias("_salts")))
+
+
+def spread_join(big: DataFrame, small: DataFrame, key: str, by: str, hot: DataFrame, how: str = "inner") -> DataFrame:
+    """``big`` joined with ``small``, of which each key has few rows; the rows of ``hot`` keys of ``big`` are spread by the hash of ``by``.
+
+    A key with a third of all rows is so joined by many tasks. Rows of ``small`` are repeated for its hot keys only. ``how`` is 'inner' or 'left'.
+    """
+    left = big.join(hot, key, "left").withColumn("_salt", F.when(F.col("_salts").isNotNull(), F.pmod(F.xxhash64(by), F.col("_salts"))).otherwise(0)).drop("_salts")
+    right = small.join(hot, key, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))).withColumn("_salt", F.col("_salt").cast("long")).drop("_salts")
+    return left.withColumn("_salt", F.col("_salt").cast("long")).join(right, [key, "_salt"], how).drop("_salt")
+
+
 def with_blocks(df: DataFrame, position: str | Column, block: int, halo: int) -> DataFrame:
     """Adds ``_block`` and ``_core``: each row once as core of its block, and as halo of a neighbour it is near to.
 

@@ -43,7 +43,16 @@ def test_query(spark, module, name):
     assert got == want
 
 
-def test_entry_imports_without_the_corpus_package():
-    import __spark_entry__ as entry
-
-    assert set(entry.oracle_sql()) <= set(entry.queries())
+def test_entry_imports_without_the_corpus_package(tmp_path):
+    """In a copy of the repository without that folder the entry loads every query of the core, and no other."""
+    import shutil
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    root = Path(__file__).resolve().parents[1]
+    shutil.copytree(root / "armlode", tmp_path / "armlode", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(root / "__spark_entry__.py", tmp_path)
+    code = "import __spark_entry__ as e; q = e.queries(); assert set(e.oracle_sql()) <= set(q); print(len(q))"
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, check=True, env={"PATH": "/usr/bin:/bin"})
+    assert int(out.stdout.split()[-1]) == sum(len(m.QUERIES) for m in {m for m, _ in names()})

@@ -49,3 +49,39 @@ def test_checkpoints_survive_and_cut_lineage(spark):
     d = scale.durable(spark.range(10).withColumn("x", F.rand()))
     assert d.agg(F.sum("x")).first()[0] == d.agg(F.sum("x")).first()[0]
     assert "Rand" not in d._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hot_keys_are_spread_and_joined_whole(spark):
+    big = spark.range(1000).withColumn("k", F.when(F.col("id") < 400, 0).otherwise(F.col("id") % 7))
+    small = spark.createDataFrame([(i, f"v{i}") for i in range(6)], "k long, v string")
+    hot = scale.hot_keys(big, "k", 100)
+    assert {tuple(r) for r in hot.collect()} == {(0, 5)}
+    for how, n in (("inner", 1000 - 85), ("left", 1000)):
+        got = scale.spread_join(big, small, "k", "id", hot, how)
+        assert got.columns == ["k", "id", "v"] and got.count() == n == got.select("id").distinct().count()
+        assert all(r["v"] == (f"v{r['k']}" if r["k"] < 6 else None) for r in got.collect())
+
+
+def test_a_cluster_needs_a_shared_checkpoint_folder():
+    import pytest
+
+    class Bare:
+        master = "spark://somewhere:7077"
+
+        class conf:  # noqa: N801
+            get = staticmethod(lambda name, default: default)
+
+        getCheckpointDir = staticmethod(lambda: None)  # noqa: N815
+
+    Bare.sparkContext = Bare
+    with pytest.raises(RuntimeError):
+        scale.checkpoint_folder(Bare)
+
+
+def test_far_neighbours_are_fetched(spark):
+    d = spark.createDataFrame([("a", p, p % 2 == 0) for p in (0, 1, 2, 3, 900, 901, 1800, 1801, 1802)], "k string, p long, even boolean")
+    out = scale.with_neighbours(d, ["k"], "p", 100, 4, 2, [F.col("even")]).collect()
+    core = sorted(r["p"] for r in out if r["_core"])
+    assert core == [0, 1, 2, 3, 900, 901, 1800, 1801, 1802]
+    seen = {b: {r["p"] for r in out if r["_block"] == b} for b in (0, 9, 18)}
+    assert seen[9] >= {2, 3, 900, 901, 1800, 1801} and seen[0] >= {900, 1800} and seen[18] >= {901, 900, 2}
