@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from armlode.llm import tokens
-from armlode.operators.scale import BROADCAST_ROWS, durable
+from armlode.operators.scale import bounded_broadcast, durable
 
 #: Open windows per plan and partition.
 OPEN_WINDOWS = 128
@@ -20,6 +20,8 @@ OPEN_WINDOWS = 128
 REMEMBERED = 400_000
 #: Left-over containers that one merging task takes; more are merged in several tasks.
 MERGE_ROWS = 200_000
+#: Tokenizers that one call may size texts by, each a column; more are an error. Parts over which texts and plans of a tokenizer meet.
+MOST_TOKENIZERS, SPREAD = 64, 64
 
 
 def _counter(name: str, folder: str):
@@ -74,11 +76,12 @@ def token_counts(documents: DataFrame, names: list[str], folder: str = tokens.TO
     return docs.mapInPandas(count, ", ".join(["doc_id long", *(f"n{i} long" for i in range(len(names)))]))
 
 
-def items(sizes: DataFrame, capacity: int) -> DataFrame:
-    """(doc_id, piece, first_token, tokens): texts as items, only those larger than the capacity in pieces of it."""
-    cut = F.sequence(F.lit(0).cast("long"), F.floor((F.col("tokens") - 1) / capacity).cast("long"))
-    rows = sizes.filter("tokens > 0").select("doc_id", "tokens", F.explode(cut).alias("piece"))
-    return rows.select("doc_id", "piece", (F.col("piece") * capacity).alias("first_token"), F.least(F.lit(capacity), F.col("tokens") - F.col("piece") * capacity).cast("long").alias("tokens"))
+def items(sizes: DataFrame) -> DataFrame:
+    """(plan_id, capacity, doc_id, piece, first_token, tokens): texts as items, only those larger than the capacity in pieces of it."""
+    cut = F.sequence(F.lit(0).cast("long"), F.floor((F.col("tokens") - 1) / F.col("capacity")).cast("long"))
+    rows = sizes.filter("tokens > 0").select("plan_id", "capacity", "doc_id", "tokens", F.explode(cut).alias("piece"))
+    first = F.col("piece") * F.col("capacity")
+    return rows.select("plan_id", "capacity", "doc_id", "piece", first.alias("first_token"), F.least(F.col("capacity"), F.col("tokens") - first).cast("long").alias("tokens"))
 
 
 class _Windows:
@@ -102,44 +105,38 @@ class _Windows:
         return container
 
 
-def pack(sizes: DataFrame, plans: list[tuple[int, int]], windows: int = OPEN_WINDOWS) -> DataFrame:
-    """(plan_id, doc_id, piece, first_token, tokens, container_id) of every plan (plan_id, capacity).
+def pack(sizes: DataFrame, windows: int = OPEN_WINDOWS) -> DataFrame:
+    """(plan_id, doc_id, piece, first_token, tokens, container_id) from ``sizes`` (plan_id, capacity, doc_id, tokens).
 
     Each partition packs its items as they come, into a bounded number of open windows a plan; what windows
     are open at its end is merged with those of other partitions, as whole containers. Memory is bounded by the
     windows; results are written before the merge, so a lost task cannot pack anew.
     """
-    capacities = dict(plans)
-    split = None
-    for plan, capacity in plans:
-        rows = items(sizes.filter(F.col("plan_id") == plan), capacity).withColumn("plan_id", F.lit(plan).cast("int"))
-        split = rows if split is None else split.unionByName(rows)
-    mixed = split.repartition(F.xxhash64("doc_id", "piece")).sortWithinPartitions(F.xxhash64("doc_id"), "doc_id", "piece", "plan_id")
+    mixed = items(sizes).repartition(F.xxhash64("doc_id", "piece")).sortWithinPartitions(F.xxhash64("doc_id"), "doc_id", "piece", "plan_id")
 
     def place(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counter = iter(range(TaskContext.get().partitionId() << 40, 1 << 62))
         packers: dict[int, _Windows] = {}
         for frame in frames:
             got = []
-            for plan, size in zip(frame["plan_id"].tolist(), frame["tokens"].tolist()):
+            for plan, capacity, size in zip(frame["plan_id"].tolist(), frame["capacity"].tolist(), frame["tokens"].tolist()):
                 packer = packers.get(plan)
                 if packer is None:
-                    packer = packers[plan] = _Windows(capacities[plan], windows, lambda: next(counter))
+                    packer = packers[plan] = _Windows(capacity, windows, lambda: next(counter))
                 got.append(packer.place(size))
             yield frame.assign(container_id=got)
 
-    placed = durable(mixed.mapInPandas(place, "doc_id long, piece long, first_token long, tokens long, plan_id int, container_id long"))
-    used = placed.groupBy("plan_id", "container_id").agg(F.sum("tokens").alias("used"))
-    limits = F.create_map(*[F.lit(x) for p in plans for x in p])
-    loose = durable(used.filter(F.col("used") <= limits[F.col("plan_id")] * 0.9))
+    placed = durable(mixed.mapInPandas(place, "plan_id int, capacity long, doc_id long, piece long, first_token long, tokens long, container_id long"))
+    used = placed.groupBy("plan_id", "container_id").agg(F.first("capacity").alias("capacity"), F.sum("tokens").alias("used"))
+    loose = durable(used.filter(F.col("used") <= F.col("capacity") * 0.9))
     tasks = max(1, -(-loose.count() // MERGE_ROWS))
 
     def merge(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         packers: dict[int, _Windows] = {}
         for frame in frames:
             got = []
-            for plan, container, size in zip(frame["plan_id"].tolist(), frame["container_id"].tolist(), frame["used"].tolist()):
-                packer = packers.setdefault(plan, _Windows(capacities[plan], MERGE_ROWS, None))
+            for plan, capacity, container, size in zip(frame["plan_id"].tolist(), frame["capacity"].tolist(), frame["container_id"].tolist(), frame["used"].tolist()):
+                packer = packers.setdefault(plan, _Windows(capacity, MERGE_ROWS, None))
                 packer.fresh = lambda c=container: c
                 got.append(packer.place(size))
             yield pd.DataFrame({"plan_id": frame["plan_id"], "container_id": frame["container_id"], "merged": got})
@@ -153,20 +150,23 @@ def pack(sizes: DataFrame, plans: list[tuple[int, int]], windows: int = OPEN_WIN
 def pack_documents(documents: DataFrame, plan: DataFrame, folder: str = tokens.TOKENIZERS) -> DataFrame:
     """Every text in containers, for each row of the plan: (plan_id, doc_id, piece, first_token, tokens, container_id).
 
-    Texts are sized in tokens of the plan's tokenizer. Texts without tokens take no container and give no row;
-    only a text larger than the capacity is divided, into pieces of the capacity and a rest. Plans with a null or
-    non-positive capacity are skipped, as are rows with a null doc_id. Texts sent again are packed again.
+    Texts are sized once in tokens of each tokenizer that the plan names, and joined with the plan's rows by tokenizer, however many there are. Texts without tokens
+    take no container and give no row; only a text larger than the capacity is divided, into pieces of the capacity and a rest. Plans with a null or
+    non-positive capacity are skipped, as are rows with a null doc_id; of rows with one plan_id the one of least capacity counts. Texts sent again are packed again.
     """
-    rows = plan.filter("plan_id is not null and capacity_tokens > 0 and tokenizer is not null").limit(BROADCAST_ROWS).collect()  # a plan is a few rows
-    docs = documents.filter("doc_id is not null")
-    names = sorted({r["tokenizer"] for r in rows})
-    if rows:
-        counted = durable(token_counts(docs, names, folder))
-        each = F.explode(F.array(*[F.struct(F.lit(r["plan_id"]).cast("int").alias("plan_id"), F.col(f"n{names.index(r['tokenizer'])}").alias("tokens")) for r in rows]))
-        sizes = counted.select("doc_id", each.alias("s")).select("doc_id", "s.plan_id", "s.tokens")
-    else:
+    fine = plan.filter("plan_id is not null and capacity_tokens > 0 and tokenizer is not null")
+    rows = fine.groupBy("plan_id").agg(F.min(F.struct(F.col("capacity_tokens").cast("long").alias("capacity"), "tokenizer")).alias("r")).select(F.col("plan_id").cast("int").alias("plan_id"), "r.*")
+    names = [r["tokenizer"] for r in rows.select("tokenizer").distinct().orderBy("tokenizer").limit(MOST_TOKENIZERS + 1).collect()]
+    if len(names) > MOST_TOKENIZERS:
+        raise ValueError(f"the plan names more than {MOST_TOKENIZERS} tokenizers")
+    if not names:
         return documents.sparkSession.createDataFrame([], "plan_id int, doc_id long, piece long, first_token long, tokens long, container_id long")
-    return pack(sizes, [(r["plan_id"], r["capacity_tokens"]) for r in rows])
+    counted = durable(token_counts(documents.filter("doc_id is not null"), names, folder))
+    each = F.explode(F.array(*[F.struct(F.lit(n).alias("tokenizer"), F.col(f"n{i}").alias("tokens")) for i, n in enumerate(names)]))
+    # few tokenizers are few keys: rows of either side are spread over SPREAD parts of each
+    sizes = counted.select("doc_id", each.alias("s")).select("doc_id", "s.*").withColumn("_part", F.pmod(F.xxhash64("doc_id"), F.lit(SPREAD)))
+    plans = rows.withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SPREAD - 1).cast("long"))))
+    return pack(sizes.join(bounded_broadcast(plans), ["tokenizer", "_part"]).select("plan_id", "capacity", "doc_id", "tokens"))
 
 
 def fill_report(packed: DataFrame, plan: DataFrame) -> DataFrame:

@@ -29,7 +29,7 @@ def p4_found(spark: SparkSession, base: str) -> DataFrame:
 
 
 def p4_splits(spark: SparkSession, base: str) -> DataFrame:
-    groups = splits.durable(splits.related_groups(table(spark, base, "episodes"), table(spark, base, "source_config")))
+    groups = splits.stored(splits.related_groups(table(spark, base, "episodes"), table(spark, base, "source_config")))
     return splits.assign_splits(groups, table(spark, base, "split_plan"))
 
 
@@ -78,7 +78,7 @@ e AS (SELECT episode_id, {_KEY.format('source_dataset')} AS source, regexp_repla
 b AS (SELECT *, regexp_replace(cut, '^(episode|recording|ep|rec)[ _.:-]*', '') AS bare FROM e),
 keyed AS (SELECT DISTINCT episode_id, node FROM (
   SELECT episode_id, 'r:' || coalesce('repo:' || repo, 'source:' || b.source, '') || ':' || CASE WHEN regexp_full_match(bare, '\\d+') THEN regexp_replace(bare, '^0+(\\d)', '\\1') ELSE bare END AS node FROM b LEFT JOIN repos ON b.source = repos.source WHERE bare <> ''
-  UNION ALL SELECT episode_id, 't:' || task FROM b WHERE task NOT IN ({', '.join(f"'{t}'" for t in splits.NO_TASK)}))),
+  UNION ALL SELECT episode_id, 't:' || task FROM b WHERE task NOT IN ('', 'tbd', 'na', 'nan', 'none', 'null', 'nil', 'unknown', 'unlabeled', 'unlabelled', 'unnamed', 'untitled', 'nodescription', 'notask', 'notavailable', 'todo', 'undefined', 'missing', 'empty', 'unspecified', 'placeholder', 'default', 'xxx'))),
 reach AS (SELECT DISTINCT episode_id, episode_id AS other FROM keyed UNION SELECT r.episode_id, y.episode_id FROM reach r JOIN keyed x ON x.episode_id = r.other JOIN keyed y ON y.node = x.node),
 g AS (SELECT episode_id, min(other) AS group_id, count(*) AS n FROM reach GROUP BY 1)
 SELECT episode_id, group_id FROM g WHERE n > 1

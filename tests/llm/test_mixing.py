@@ -44,10 +44,27 @@ def test_curriculum_shares_repeats_and_order(spark):
     assert sum(x["seconds"] for x in a if x["position"] < 0.5) > 0.55 * sum(x["seconds"] for x in a)
 
 
-def test_positions_invert_the_integral(spark):
-    d = spark.createDataFrame([(u / 10, s) for u in range(11) for s in (-1.0, -0.5, 0.0, 0.5, 1.0)], "u double, s double")
-    for x in d.withColumn("p", mixing.schedule_position(F.col("u"), F.col("s"))).collect():
-        assert abs(x["p"] * (1 - x["s"]) + x["s"] * x["p"] ** 2 - x["u"]) < 1e-9
+def test_positions_invert_a_given_schedule_and_fill_evenly(spark):
+    sel = [("A", i, None, None, 1.0) for i in range(400)] + [("b1", i, None, None, 1.0) for i in range(600)]
+    r, m = make(spark, sel, [(1, "A", 0.4, None), (1, "b1", 0.6, None), (2, "A", 1.0, None)])
+    # A falls in steps, b1 has one stage only; the last stage of A is empty
+    plan = spark.createDataFrame([(1, "A", 0.0, 3.0), (1, "A", 0.25, 1.0), (1, "A", 0.75, 0.0), (1, "b1", 0.5, None)], "mixture_id int, source_dataset string, start double, weight double")
+    rows = [x for x in mixing.curriculum(r, m, plan).collect() if x["mixture_id"] == 1]
+    assert len(rows) == 1000
+    tenths = [sum(x["seconds"] for x in rows if k / 10 <= x["position"] < (k + 1) / 10) for k in range(10)]
+    assert max(abs(t - 100) for t in tenths) <= 2
+    # stage ends in summed demand: A gives 240 of its 400 by 0.25 and all by 0.75; b1 150, 450 and 600
+    of = lambda s, p: sum(x["seconds"] for x in rows if x["source"] == s and x["position"] < p - 1e-9)
+    assert abs(of("a", 0.39) - 240) <= 1 and abs(of("b1", 0.39) - 150) <= 1 and abs(of("a", 0.85) - 400) <= 1 and abs(of("b1", 0.85) - 450) <= 1
+    order = sorted(rows, key=lambda x: x["position"])
+    assert [x["source"] for x in order[-140:]] == ["b1"] * 140
+
+
+def test_default_schedule_fills_every_tenth(spark):
+    sel = [("A", i, None, None, 1.0) for i in range(50)] + [("b1", i, None, None, 0.5) for i in range(1900)]
+    rows = mixing.curriculum(*make(spark, sel, [(1, "A", 1.0, 6), (1, "b1", 2.0, None)])).collect()
+    tenths = [sum(x["seconds"] for x in rows if k / 10 <= x["position"] < (k + 1) / 10) for k in range(10)]
+    assert max(tenths) - min(tenths) <= 4
 
 
 def test_running_total_is_exact(spark):

@@ -30,8 +30,8 @@ def check(rows, sizes, capacity):
 def test_packing_is_whole_and_tight(spark):
     rng = random.Random(4)
     sizes = {i: rng.choice((rng.randrange(1, 400), rng.randrange(1, 3000), 512)) for i in range(4000)} | {5000: 0, 5001: 512 * 4}
-    d = spark.createDataFrame([(i, 1, n) for i, n in sizes.items()] + [(i, 2, n) for i, n in sizes.items()], "doc_id long, plan_id int, tokens long")
-    rows = packing.pack(d, [(1, 512), (2, 8192)]).collect()
+    d = spark.createDataFrame([(i, 1, 512, n) for i, n in sizes.items()] + [(i, 2, 8192, n) for i, n in sizes.items()], "doc_id long, plan_id int, capacity long, tokens long")
+    rows = packing.pack(d).collect()
     assert check([r for r in rows if r["plan_id"] == 1], sizes, 512) > 0.95
     assert check([r for r in rows if r["plan_id"] == 2], sizes, 8192) > 0.95
 
@@ -80,3 +80,10 @@ def test_documents_plans_and_edges(spark):
     rep = {r["plan_id"]: r for r in packing.fill_report(packed, plan).collect()}
     assert all(0 < r["used_share"] <= 1 for r in rep.values())
     assert packing.pack_documents(docs.limit(0), plan).count() == 0 and packing.pack_documents(docs, plan.limit(0)).count() == 0
+
+
+def test_no_row_of_a_long_plan_is_lost(spark):
+    docs = spark.createDataFrame([(1, "one two three"), (2, "four")], "doc_id long, text string")
+    plan = spark.range(5000).select(F.col("id").cast("int").alias("plan_id"), F.lit("byte_bpe_50k").alias("tokenizer"), (F.col("id") + 3).alias("capacity_tokens"))
+    got = packing.pack_documents(docs, plan).groupBy("plan_id").agg(F.count_distinct("doc_id").alias("n")).filter("n = 2").count()
+    assert got == 5000

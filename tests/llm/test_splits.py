@@ -74,3 +74,16 @@ def test_empty_and_extra_columns(spark):
     none = splits.assign_splits(spark.createDataFrame([], "episode_id long, group_id long"), spark.createDataFrame([("train", 1.0)], PLAN))
     assert none.count() == 0
     assert splits.assign_splits(spark.createDataFrame([(1, 1)], "episode_id long, group_id long"), spark.createDataFrame([], PLAN)).count() == 0
+
+
+def test_a_hub_is_spread_and_no_row_of_a_long_plan_is_lost(spark, monkeypatch):
+    """One task holds a third of all episodes: its node is expanded in parts."""
+    monkeypatch.setattr(splits, "HOT_ROWS", 50)
+    e = [(i, "Gamma", f"x{i}", "sort the bolts") for i in range(400)] + [(1000 + i, "Gamma", f"y{i // 2}", f"t{i}") for i in range(800)] + [(5000, "Gamma", "x7", "other work"), (5001, "Gamma", "z", "other work")]
+    got = groups(spark, e)
+    assert {g for i, g in got if i < 400 or i >= 5000} == {0} and len([1 for i, _ in got if i < 400 or i >= 5000]) == 402
+    assert {(i, g) for i, g in got if 1000 <= i < 5000} == {(1000 + i, 1000 + i - i % 2) for i in range(800)}
+    g = spark.range(20_000).select(F.col("id").alias("episode_id"), F.col("id").alias("group_id"))
+    plan = spark.range(5000).select(F.concat(F.lit("s"), F.col("id")).alias("split_name"), F.lit(1.0).alias("share"))
+    out = splits.assign_splits(g, plan)
+    assert out.count() == 20_000 and out.select("split_name").distinct().count() == 5000
