@@ -61,11 +61,12 @@ def stored(df: DataFrame) -> DataFrame:
 HOT_ROWS = 100_000
 
 
-def hot_keys(df: DataFrame, key: str, rows: int = HOT_ROWS) -> DataFrame:
-    """(key, _salts): the keys with more than ``rows`` rows, and over how many parts to spread them.
+def hot_keys(df: DataFrame, key: str, rows: int | None = None) -> DataFrame:
+    """(key, _salts): the keys with more than ``rows`` (``HOT_ROWS``) rows, and over how many parts to spread them.
 
     The 1024 largest at most, which are broadcast: any other key has less than a 1024th of all rows, whatever the data. Counts are partial before they are shuffled.
     """
+    rows = rows or HOT_ROWS
     counts = df.groupBy(key).agg(F.count("*").alias("_n")).filter(F.col("_n") > rows)
     return bounded_broadcast(counts.orderBy(F.desc("_n"), key).limit(1024).select(key, F.ceil(F.col("_n") / rows).cast("int").alias("_salts")))
 
