@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from armlode.operators.scale import HOT_ROWS, bounded_broadcast, stored, hot_keys, spread_join
+from armlode.operators.scale import bounded_broadcast, hot_keys, spread_join, stored
 from armlode.sources.tables import source_key
 
 #: What stands for no task, as letters and digits only.
@@ -36,10 +36,10 @@ def relations(episodes: DataFrame, source_config: DataFrame) -> DataFrame:
     return keyed.select("episode_id", F.explode(nodes).alias("node")).distinct()
 
 
-def components(edges: DataFrame, max_rounds: int = 64, hot_rows: int = HOT_ROWS) -> DataFrame:
+def components(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
     """(node, label): connected components of the undirected edges (a, b), by frontiers from many seeds.
 
-    Adjacency is hash-partitioned by node, the lists of hub nodes (more than ``hot_rows`` neighbours) by neighbour too, so that a node with a third
+    Adjacency is hash-partitioned by node, the lists of hub nodes (see ``hot_keys``) by neighbour too, so that a node with a third
     of all edges is expanded by many tasks. Seeds are the nodes that come before all their neighbours
     in hash order, so every component has one. All frontiers advance a step at a time, each unlabelled node
     taking the least label that reaches it, until none is left; labels that meet make the edges of a much smaller graph, which is
@@ -50,12 +50,12 @@ def components(edges: DataFrame, max_rounds: int = 64, hot_rows: int = HOT_ROWS)
     for _ in range(max_rounds):
         if both.isEmpty():
             return mapping
-        hubs = hot_keys(both, "a", hot_rows)
+        hubs = hot_keys(both, "a")
         labels = _frontiers(both, hubs)
         # a label of the round before is a node of this one; many nodes may share it
         named = labels.select(F.col("node").alias("label"), F.col("label").alias("to"))
         mapping = stored(mapping)
-        mapping = stored(spread_join(mapping, named, "label", "node", hot_keys(mapping, "label", hot_rows), "left").select("node", F.coalesce("to", "label").alias("label")))
+        mapping = stored(spread_join(mapping, named, "label", "node", hot_keys(mapping, "label"), "left").select("node", F.coalesce("to", "label").alias("label")))
         at_a = spread_join(both, labels.select(F.col("node").alias("a"), F.col("label").alias("la")), "a", "b", hubs)
         at_b = spread_join(at_a, labels.select(F.col("node").alias("b"), F.col("label").alias("lb")), "b", "a", hubs.withColumnRenamed("a", "b"))
         both = stored(at_b.filter("la <> lb").select(F.col("la").alias("a"), F.col("lb").alias("b")).distinct())

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from armlode.llm import splits
+from armlode.operators import scale
 
 EP = "episode_id long, source_dataset string, source_episode string, task string"
 CFG = "name string, repo_id string"
@@ -78,8 +79,8 @@ def test_empty_and_extra_columns(spark):
 
 def test_a_hub_is_spread_and_no_row_of_a_long_plan_is_lost(spark, monkeypatch):
     """One task holds a third of all episodes: its node is expanded in parts."""
-    monkeypatch.setattr(splits, "HOT_ROWS", 50)
-    e = [(i, "Gamma", f"x{i}", "sort the bolts") for i in range(400)] + [(1000 + i, "Gamma", f"y{i // 2}", f"t{i}") for i in range(800)] + [(5000, "Gamma", "x7", "other work"), (5001, "Gamma", "z", "other work")]
+    monkeypatch.setattr(scale, "HOT_ROWS", 50)
+    e = [(i, "Gamma", f"x{i}", "sort the bolts") for i in range(400)] + [(1000 + i, "Beta", f"y{i // 2}", f"t{i}") for i in range(800)] + [(5000, "Gamma", "x7", "other work"), (5001, "Gamma", "z", "other work")]
     got = groups(spark, e)
     assert {g for i, g in got if i < 400 or i >= 5000} == {0} and len([1 for i, _ in got if i < 400 or i >= 5000]) == 402
     assert {(i, g) for i, g in got if 1000 <= i < 5000} == {(1000 + i, 1000 + i - i % 2) for i in range(800)}
