@@ -9,6 +9,7 @@ from armlode.functions import gripper as G
 from armlode.functions import pose as P
 from armlode.operators import frames as FR
 from armlode.operators import units as U
+from armlode.queries.problems import UNIT_RULE
 from armlode.queries.sequence import ONE
 from armlode.sources.tables import source_key, table
 
@@ -237,9 +238,9 @@ SQL = {
 m AS (SELECT {_K}, {', '.join(f'{e} AS m{n}' for e, n in zip(_mul(_Q, ('-px', '-py', '-pz', 'pw')), 'xyzw'))} FROM p WHERE px IS NOT NULL),
 s AS (SELECT {_K}, CASE WHEN mw < 0 THEN -1.0 ELSE 1.0 END AS s, mx, my, mz, mw, sqrt(mx*mx + my*my + mz*mz) AS n FROM m), k AS (SELECT *, CASE WHEN n < 1e-9 THEN 2.0 ELSE 2 * atan2(n, mw * s) / n END * s AS k FROM s)
 SELECT {_K}, round(mx * k + {TIE}, 5) + 0.0 AS ex, round(my * k + {TIE}, 5) + 0.0 AS ey, round(mz * k + {TIE}, 5) + 0.0 AS ez FROM k""",
-    "euler_to_quat": f"WITH {_RAW} SELECT record_id, {_sel(_EULER, _Q)} FROM raw WHERE len(pose) = 6",
-    "rotvec_to_quat": f"WITH {_RAW}, v AS (SELECT record_id, pose, {_VN} AS n FROM raw WHERE len(pose) = 6) SELECT record_id, {_sel([f'pose[{i}] * (CASE WHEN n < 1e-9 THEN 0.5 ELSE sin(n / 2) / n END)' for i in (4, 5, 6)] + ['cos(n / 2)'], _Q)} FROM v",
-    "quat_order": f"WITH {_RAW} SELECT record_id, pose[5] AS qx, pose[6] AS qy, pose[7] AS qz, pose[4] AS qw FROM raw WHERE len(pose) = 8",
+    "euler_to_quat": f"WITH {UNIT_RULE}, eu AS (SELECT record_id, CASE WHEN ru = 'euler_deg' THEN list_transform(pose, lambda v: radians(v)) ELSE pose END AS pose FROM o WHERE ru IN ('euler_rad', 'euler_deg') AND len(pose) >= 6) SELECT record_id, {_sel(_EULER, _Q)} FROM eu",
+    "rotvec_to_quat": f"WITH {UNIT_RULE}, v AS (SELECT record_id, pose, {_VN} AS n FROM o WHERE ru = 'rotvec_rad' AND len(pose) >= 6) SELECT record_id, {_sel([f'pose[{i}] * (CASE WHEN n < 1e-9 THEN 0.5 ELSE sin(n / 2) / n END)' for i in (4, 5, 6)] + ['cos(n / 2)'], _Q)} FROM v",
+    "quat_order": f"WITH {UNIT_RULE} SELECT record_id, " + ", ".join(f"CASE WHEN ru = 'quat_wxyz' THEN pose[{w}] ELSE pose[{x}] END AS {n}" for w, x, n in ((5, 4, "qx"), (6, 5, "qy"), (7, 6, "qz"), (4, 7, "qw"))) + " FROM o WHERE ru IN ('quat_wxyz', 'quat_xyzw') AND len(pose) >= 7",
     "aperture_closure": f"WITH {ONE} SELECT {_K}, round({_AP(_ANG)}, 7) AS aperture, round({_CL(_AP(_ANG))}, 6) AS closure, round(CASE WHEN side = 0 THEN -{_ANG} ELSE {_ANG} END, 6) + 0.0 AS finger FROM one WHERE gripper IS NOT NULL",
     "pinch_centre": f"WITH {UNIT} SELECT {_K}, {_sel(_MOVED + _TARGET, ('x', 'y', 'z', 'target_x', 'target_y', 'target_z'))} FROM un WHERE gripper IS NOT NULL",
     "gripper_calibrated": f"WITH {_RAW}, c AS (SELECT {_KEY.format('name')} AS source, gripper_open_value AS o, gripper_closed_value AS k FROM source_config WHERE gripper_open_value IS NOT NULL AND gripper_closed_value IS NOT NULL), g AS (SELECT record_id, source, try_cast(gripper AS DOUBLE) AS g FROM raw) SELECT record_id, CASE WHEN abs(k - o) >= 1e-9 THEN round(least(greatest((g - o) / (k - o), 0.0), 1.0) + {TIE}, 6) + 0.0 END AS closure FROM g JOIN c ON g.source = c.source WHERE g IS NOT NULL",

@@ -47,16 +47,15 @@ SELECT s.episode_id, s.side, s.slot FROM slots s ANTI JOIN seen x ON s.episode_i
 }
 
 
-def _units_sql() -> str:
-    """The stated rule in SQL: text over notes over columns, then the reach. The wordings are the operator's fixed values."""
+def _unit_rule() -> str:
+    """Each record's units by the stated rule, as CTEs that end in ``o`` (record_id, pose, num, lu, ru, gu): text over notes over columns, then the reach. The wordings are the operator's fixed values."""
     u = units
     q = lambda w: "'" + w.replace("'", "''") + "'"
     has = lambda col, w: f"regexp_matches({col}, {q(w)})"
     about = lambda w, no=None: f"array_to_string(list_filter(sentences, lambda s: regexp_matches(s, {q(w)})" + (f" AND NOT regexp_matches(s, {q(no)})" if no else "") + "), ' | ')"
     pick = lambda col, pre="": " ".join(f"WHEN {has(col, pre + '(?:' + w + ')')} THEN '{n}'" for n, w in u._LENGTHS.items())
     scale = " ".join(f"WHEN abs(position_scale / {f} - 1) < 1e-6 THEN '{n}'" for n, f in u.METRES.items())
-    return f"""
-WITH n AS (SELECT *, {_KEY.format('name')} AS source, string_split_regex(lower(regexp_replace(regexp_replace(coalesce(notes, ''), '(?i)\\bi\\.\\s?e\\.', 'ie', 'g'), '(\\d)\\.(\\d)', '\\1 \\2', 'g')), '\\.(?:\\s+|$)') AS sentences FROM source_config),
+    return f"""n AS (SELECT *, {_KEY.format('name')} AS source, string_split_regex(lower(regexp_replace(regexp_replace(coalesce(notes, ''), '(?i)\\bi\\.\\s?e\\.', 'ie', 'g'), '(\\d)\\.(\\d)', '\\1 \\2', 'g')), '\\.(?:\\s+|$)') AS sentences FROM source_config),
 a AS (SELECT *, {about(u._NOTE_POSITION, u._ROTVEC)} AS np, {about(u._NOTE_ROTATION)} AS nr, {about(u._NOTE_GRIPPER)} AS ng, {about('0 is open')} AS nc FROM n),
 g AS (SELECT *, CASE WHEN {has('ng', u._INVERTED)} THEN 'inverted' WHEN {has('ng', u._SIGNED)} THEN 'signed' WHEN {has('ng', u._PERCENT)} THEN 'percent' WHEN {has('ng', u._LENGTHS['cm'])} THEN 'cm' WHEN {has('ng', u._LENGTHS['mm'])} THEN 'mm' WHEN {has('ng', u._COUNTS)} THEN 'counts' WHEN {has('ng', u._CLOSURE)} THEN 'closure'
  WHEN gripper_mode = 'width_mm' THEN 'mm' WHEN gripper_mode = 'signed' THEN 'signed' WHEN gripper_mode = 'closure_position' THEN 'counts' WHEN gripper_open_value > gripper_closed_value THEN 'inverted' ELSE 'closure' END AS gr FROM a),
@@ -71,9 +70,8 @@ t AS (SELECT record_id, source, pose, sqrt(pose[1]*pose[1] + pose[2]*pose[2] + p
 r AS (SELECT t.*, coalesce(len, 'm') AS len, coalesce(rot, 'quat_xyzw') AS rot, coalesce(grip, 'closure') AS grip FROM t LEFT JOIN cfg ON t.source = cfg.source),
 o AS (SELECT record_id, pose, num, coalesce(tl, CASE WHEN len IN ('m', 'mm') AND NOT (d * CASE len WHEN 'mm' THEN 0.001 ELSE 1 END BETWEEN {u.NEAREST} AND {u.FARTHEST}) THEN CASE len WHEN 'm' THEN 'mm' ELSE 'm' END ELSE len END) AS lu,
  CASE tr WHEN 'deg' THEN 'euler_deg' WHEN 'rad' THEN CASE rot WHEN 'rotvec_rad' THEN rot ELSE 'euler_rad' END ELSE coalesce(tr, rot) END AS ru,
- CASE WHEN regexp_matches(suf, '^(cm|centimet)') THEN 'cm' WHEN regexp_matches(suf, '^(mm|millimet)') THEN 'mm' WHEN regexp_matches(suf, '^(%|per ?cent)') THEN 'percent' ELSE grip END AS gu FROM r)
-SELECT record_id, 'position' AS quantity, lu AS unit FROM o WHERE pose IS NOT NULL AND lu <> 'm' UNION ALL SELECT record_id, 'rotation', ru FROM o WHERE pose IS NOT NULL AND ru <> 'quat_xyzw' UNION ALL SELECT record_id, 'gripper', gu FROM o WHERE num AND gu <> 'closure'
-"""
+ CASE WHEN regexp_matches(suf, '^(cm|centimet)') THEN 'cm' WHEN regexp_matches(suf, '^(mm|millimet)') THEN 'mm' WHEN regexp_matches(suf, '^(%|per ?cent)') THEN 'percent' ELSE grip END AS gu FROM r)"""
 
 
-SQL["p5_found"] = _units_sql()
+UNIT_RULE = _unit_rule()
+SQL["p5_found"] = f"WITH {UNIT_RULE} SELECT record_id, 'position' AS quantity, lu AS unit FROM o WHERE pose IS NOT NULL AND lu <> 'm' UNION ALL SELECT record_id, 'rotation', ru FROM o WHERE pose IS NOT NULL AND ru <> 'quat_xyzw' UNION ALL SELECT record_id, 'gripper', gu FROM o WHERE num AND gu <> 'closure'"

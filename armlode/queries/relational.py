@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from armlode.functions import camera as C
 from armlode.functions import pose as P
 from armlode.functions import text as X
+from armlode.functions.gripper import MAX_ANGLE
 from armlode.operators import export as E
 from armlode.operators import frames as FR
 from armlode.operators import joins as J
@@ -152,9 +153,12 @@ def outer_parity(spark, base):
 
 
 def constant_or_framed(spark, base):
-    """Widths given for one frame of a side hold for all of it, else each frame has its own."""
+    """Widths of the right side: an episode whose widths are all one value gives it once, for all frames; any other gives each frame its own."""
     d = _frames(spark, base).filter("side = 0")
-    v = d.filter("gripper_width_m is not null and (episode_id % 2 = 0 or frame_idx = 0)").select("episode_id", "frame_idx", F.col("gripper_width_m").alias("width"))
+    e = Window.partitionBy("episode_id")
+    width = F.col("gripper_width_m")
+    v = d.filter("gripper_width_m is not null").withColumns({"_same": F.min(width).over(e) == F.max(width).over(e), "_first": F.min("frame_idx").over(e) == F.col("frame_idx")})
+    v = v.filter(~F.col("_same") | F.col("_first")).select("episode_id", "frame_idx", width.alias("width"))
     return J.constant_or_framed(d.select("episode_id", "frame_idx"), v, ["episode_id"], "frame_idx", ["width"])
 
 
@@ -216,11 +220,16 @@ def manifest_report(spark, base):
 
 
 def resume_work(spark, base):
-    """Episodes of which a conversion by the same settings with feasible frames is not there yet."""
+    """Episodes without a conversion that has feasible frames and was made with the episode's own task and rate.
+
+    Conversions ran at the rate of their source: those of episodes with another rate are stale and done again.
+    """
     sig = A.signature(["task", "fps"])
-    e = _episodes(spark, base).groupBy("episode_id").agg(F.min("task").alias("task"), F.min("fps").alias("fps")).withColumn("signature", sig)
-    done = table(spark, base, "frames").groupBy("episode_id").agg(F.count_if("feasible").alias("feasible_frames")).join(e.select("episode_id", "signature"), "episode_id")
-    return A.remaining(e, done, ["episode_id"]).select("episode_id")
+    rates = table(spark, base, "source_config").groupBy(source_key("name").alias("source")).agg(F.min("fps").alias("source_fps"))
+    e = _episodes(spark, base).groupBy("episode_id").agg(F.min("task").alias("task"), F.min("fps").alias("fps"), F.min(source_key("source_dataset")).alias("source"))
+    made = e.join(rates, "source", "left").select("episode_id", "task", F.col("source_fps").alias("fps")).withColumn("signature", sig).select("episode_id", "signature")
+    done = table(spark, base, "frames").groupBy("episode_id").agg(F.count_if("feasible").alias("feasible_frames")).join(made, "episode_id")
+    return A.remaining(e.withColumn("signature", sig), done, ["episode_id"]).select("episode_id")
 
 
 def names_and_slugs(spark, base):
@@ -261,7 +270,7 @@ def export_runs(spark, base):
 
 
 def export_rows(spark, base):
-    return E.export_rows(table(spark, base, "frames"), _episodes(spark, base)).select("episode_index", "frame_index", F.round("timestamp", 6).alias("timestamp"), "index", "task_index", F.size("action").alias("width"))
+    return E.export_rows(table(spark, base, "frames"), _episodes(spark, base)).select("episode_index", "frame_index", F.round("timestamp", 6).alias("timestamp"), "index", "task_index", *[(F.round(F.get("action", F.lit(i)).cast("double") + TIE, 5) + 0.0).alias(f"a{i}") for i in range(16)])
 
 
 def export_validation(spark, base):
@@ -279,9 +288,9 @@ def plane_similarity(spark, base):
     d = _frames(spark, base)
     a = d.filter("side = 0").select("episode_id", "frame_idx", F.col("pose.x").alias("ax"), F.col("pose.y").alias("ay"))
     b = d.filter("side = 1").select("episode_id", "frame_idx", F.col("pose.x").alias("bx"), F.col("pose.y").alias("by"))
-    j = a.join(b, ["episode_id", "frame_idx"]).filter("abs(ax) < 2 and abs(ay) < 2 and abs(bx) < 2 and abs(by) < 2")
+    j = a.join(b, ["episode_id", "frame_idx"])
     s = R.plane_similarities(j, ["episode_id"], (F.col("ax"), F.col("ay")), (F.col("bx"), F.col("by")))
-    return s.select("episode_id", F.round("scale", 4).alias("scale"))
+    return s.select("episode_id", *[F.round(F.col(c) + TIE, 4).alias(c) for c in ("scale", "angle", "dx", "dy")])
 
 
 def rotation_mean(spark, base):
@@ -330,6 +339,9 @@ er AS (SELECT *, array_to_string(list_filter([CASE WHEN qn > 1e-5 THEN 'quaterni
 CASE WHEN sp > 3 + 1e-6 THEN 'speed' END, CASE WHEN ac > 20 + 1e-6 THEN 'acceleration' END], lambda x: x IS NOT NULL), ',') AS errors FROM au)"""
 _RUNS = f"WITH {FEASIBLE}, rn AS (SELECT episode_id, run, min(frame_idx) AS start, max(frame_idx) AS last, count(*) AS length FROM fx WHERE feasible GROUP BY 1, 2), info AS (SELECT episode_id, min(coalesce(task, '')) AS task FROM episodes GROUP BY 1), nr AS (SELECT rn.*, info.task, row_number() OVER (ORDER BY rn.episode_id, run) - 1 AS episode_index, sum(length) OVER (ORDER BY rn.episode_id, run) AS to_index FROM rn LEFT JOIN info ON rn.episode_id = info.episode_id), tk AS (SELECT task, dense_rank() OVER (ORDER BY f) - 1 AS task_index FROM (SELECT task, min(episode_index) AS f FROM nr GROUP BY 1)), num AS (SELECT nr.*, tk.task_index FROM nr JOIN tk ON nr.task = tk.task)"
 
+_FINGER = lambda c: f"(CASE WHEN {c} IS NOT NULL THEN (1 - least(greatest({c}, 0), 1)) * {MAX_ANGLE} END)"
+_ACTION = ", ".join(f"round(CAST(CAST({v} AS FLOAT) AS DOUBLE) + {TIE}, 5) + 0.0 AS a{i}" for i, v in enumerate([*(f"r.q[{k}]" for k in range(1, 8)), "-" + _FINGER("r.gripper"), *(f"l.q[{k}]" for k in range(1, 8)), _FINGER("l.gripper")]))
+
 SQL = {
     "column_statistics": f"WITH {ONE}, u AS (SELECT {_SRC} AS source, unnest(q) AS v, unnest(range(0, len(q))) AS pos FROM one WHERE q IS NOT NULL) SELECT source, CAST(pos AS INT) AS pos, {_STAT}, count(v) AS count FROM u GROUP BY 1, 2",
     "three_numbers": f"WITH {ONE}, {ACTIVE} SELECT {_SRC} AS source, round(avg(position_error_m * 1000) + {TIE}, 5) AS mean, round(quantile_cont(position_error_m * 1000, 0.95) + {TIE}, 5) AS p95, round(max(position_error_m * 1000) + {TIE}, 5) AS max FROM one o JOIN act a ON o.episode_id = a.episode_id AND o.side = a.side GROUP BY 1",
@@ -349,7 +361,7 @@ SQL = {
     "frame_equi": f"WITH {ONE} SELECT coalesce(a.episode_id, b.episode_id) AS episode_id, coalesce(a.frame_idx, b.frame_idx) AS frame_idx, a.gripper AS right, b.gripper AS left, a.episode_id IS NULL AS no_right, b.episode_id IS NULL AS no_left FROM (SELECT * FROM one WHERE side = 0) a FULL JOIN (SELECT * FROM one WHERE side = 1) b ON a.episode_id = b.episode_id AND a.frame_idx = b.frame_idx",
     "positional_zip": f"WITH {ONE}, n AS (SELECT episode_id, side, frame_idx, row_number() OVER (PARTITION BY episode_id, side ORDER BY frame_idx) AS place FROM one) SELECT a.episode_id, a.place, a.frame_idx AS right_frame, b.frame_idx AS left_frame FROM n a JOIN n b ON a.episode_id = b.episode_id AND a.place = b.place AND a.side = 0 AND b.side = 1",
     "outer_parity": f"WITH {ONE}, c AS (SELECT episode_id, count(*) FILTER (side = 0) AS r, count(*) FILTER (side = 1) AS l FROM one GROUP BY 1) SELECT episode_id, greatest(l - r, 0) AS only_left, greatest(r - l, 0) AS only_right, greatest(r, l) AS places FROM c WHERE r <> l AND r > 0 AND l > 0",
-    "constant_or_framed": f"WITH {ONE}, v AS (SELECT episode_id, frame_idx, gripper_width_m AS width, count(*) OVER (PARTITION BY episode_id) AS n FROM one WHERE side = 0 AND gripper_width_m IS NOT NULL AND (episode_id % 2 = 0 OR frame_idx = 0)) SELECT o.episode_id, o.frame_idx, coalesce(c.width, f.width) AS width FROM (SELECT * FROM one WHERE side = 0) o LEFT JOIN (SELECT * FROM v WHERE n = 1) c ON o.episode_id = c.episode_id LEFT JOIN (SELECT * FROM v WHERE n > 1) f ON o.episode_id = f.episode_id AND o.frame_idx = f.frame_idx",
+    "constant_or_framed": f"WITH {ONE}, v0 AS (SELECT episode_id, frame_idx, gripper_width_m AS width, min(gripper_width_m) OVER e = max(gripper_width_m) OVER e AS same, min(frame_idx) OVER e = frame_idx AS first FROM one WHERE side = 0 AND gripper_width_m IS NOT NULL WINDOW e AS (PARTITION BY episode_id)), v AS (SELECT episode_id, frame_idx, width, count(*) OVER (PARTITION BY episode_id) AS n FROM v0 WHERE NOT same OR first) SELECT o.episode_id, o.frame_idx, coalesce(c.width, f.width) AS width FROM (SELECT * FROM one WHERE side = 0) o LEFT JOIN (SELECT * FROM v WHERE n = 1) c ON o.episode_id = c.episode_id LEFT JOIN (SELECT * FROM v WHERE n > 1) f ON o.episode_id = f.episode_id AND o.frame_idx = f.frame_idx",
     "hash_equality": "SELECT doc_id, sha256(text) AS sha256, count(*) OVER (PARTITION BY text) AS copies FROM documents WHERE text IS NOT NULL QUALIFY copies > 1",
     "nearest_centre": f"WITH {ONE}, d AS (SELECT episode_id, side, (pose.x-0.5)*(pose.x-0.5)+pose.y*pose.y+(pose.z-0.2)*(pose.z-0.2) AS f, (pose.x-0.2)*(pose.x-0.2)+(pose.y+0.3)*(pose.y+0.3)+(pose.z-0.3)*(pose.z-0.3) AS r, (pose.x-0.2)*(pose.x-0.2)+(pose.y-0.3)*(pose.y-0.3)+(pose.z-0.3)*(pose.z-0.3) AS l FROM one) SELECT episode_id, side, CASE WHEN f <= r AND f <= l THEN 'front' WHEN r <= l THEN 'right' ELSE 'left' END AS nearest, count(*) AS frames FROM d GROUP BY 1, 2, 3",
     "as_of": "SELECT e.user_id, e.event_id, epoch_us(e.ts) AS at, c.value AS last_click FROM (SELECT * FROM events WHERE event_type <> 'click') e ASOF LEFT JOIN (SELECT * FROM events WHERE event_type = 'click') c ON e.user_id = c.user_id AND e.ts >= c.ts",
@@ -359,15 +371,15 @@ SQL = {
     "planned_files": f"WITH {PLAN}, f AS (SELECT source, data_file AS file, 'data' AS kind FROM plan WHERE data_file IS NOT NULL UNION ALL SELECT source, v AS file, 'video' AS kind FROM (SELECT source, unnest(video_files) AS v FROM plan) WHERE contains(v, '/observation.images.front/')) SELECT source, file, kind, count(*) AS episodes FROM f GROUP BY 1, 2, 3",
     "camera_segments": f"WITH {PLAN}, {CFG}, s AS (SELECT plan.source, episode_index, source_fps, unnest(video_segments) AS s FROM plan JOIN cfg ON plan.source = cfg.source) SELECT source, episode_index, s.key AS camera, s.file AS file, CAST(round_even(s.from_timestamp * source_fps, 0) AS BIGINT) AS first_frame, round(s.to_timestamp - s.from_timestamp + {TIE}, 5) AS seconds FROM s",
     "manifest_report": f"WITH {PLAN}, a AS (SELECT source, count(*) AS episodes, CAST(sum(frames) AS BIGINT) AS frames, CAST(sum(CAST(round(seconds * 1000) AS BIGINT)) AS BIGINT) AS ms FROM plan GROUP BY 1) SELECT *, CASE WHEN ms < 120000 THEN 'selected duration is shorter than requested duration' ELSE '' END AS errors FROM a",
-    "resume_work": "WITH e AS (SELECT DISTINCT episode_id FROM episodes), d AS (SELECT episode_id FROM frames GROUP BY 1 HAVING count(*) FILTER (feasible) > 0) SELECT episode_id FROM e ANTI JOIN d ON e.episode_id = d.episode_id",
+    "resume_work": f"WITH {CFG}, e AS (SELECT episode_id, min(fps) AS fps, min({_SRC}) AS source FROM episodes GROUP BY 1), d AS (SELECT episode_id FROM frames GROUP BY 1 HAVING count(*) FILTER (feasible) > 0), fresh AS (SELECT e.episode_id FROM e LEFT JOIN cfg ON e.source = cfg.source JOIN d ON d.episode_id = e.episode_id WHERE e.fps IS NOT DISTINCT FROM cfg.source_fps) SELECT episode_id FROM e ANTI JOIN fresh ON e.episode_id = fresh.episode_id",
     "names_and_slugs": "SELECT name, trim(regexp_replace(lower(name), '[^a-z0-9]+', '_', 'g'), '_') AS slug, replace(repo_id, '/', '__') AS folder, split_part(repo_id, '/', 1) AS owner FROM source_config",
     "archive_numbers": f"WITH {PLAN}, f AS (SELECT DISTINCT data_file FROM plan WHERE data_file IS NOT NULL), n AS (SELECT data_file, try_cast(regexp_extract(data_file, 'chunk-(\\d+)/file-(\\d+)\\.parquet$', 1) AS BIGINT) AS chunk, try_cast(regexp_extract(data_file, 'chunk-(\\d+)/file-(\\d+)\\.parquet$', 2) AS BIGINT) AS file FROM f) SELECT data_file, chunk, file, printf('data/chunk-%03d/file-%03d.parquet', chunk, file) AS again FROM n",
     "json_fallback": "WITH e AS (SELECT episode_id, min(metadata) AS metadata FROM episodes GROUP BY 1) SELECT episode_id, coalesce(CASE WHEN json_valid(metadata) THEN coalesce(json_extract_string(metadata, '$.registration'), json_extract_string(metadata, '$.method')) END, 'none') AS registration FROM e",
     "content_hash": "SELECT doc_id, CAST(octet_length(encode(text)) AS BIGINT) AS bytes, sha256(text) AS sha256 FROM documents WHERE text IS NOT NULL",
     "declared_rates": f"WITH {CFG}, e AS (SELECT DISTINCT episode_id, {_SRC} AS source, fps FROM episodes) SELECT episode_id, fps, source_fps FROM e JOIN cfg ON e.source = cfg.source WHERE fps IS NULL OR fps <> source_fps",
     "export_runs": f"{_RUNS} SELECT episode_id, start, last, length, episode_index, CAST(to_index - length AS BIGINT) AS from_index, CAST(to_index AS BIGINT) AS to_index, task_index FROM num",
-    "export_rows": f"{_RUNS}, k AS (SELECT fx.episode_id, fx.run, row_number() OVER (PARTITION BY fx.episode_id, fx.run ORDER BY frame_idx) - 1 AS frame_index FROM fx WHERE feasible) SELECT num.episode_index, frame_index, round(frame_index / 30, 6) AS timestamp, CAST(to_index - length + frame_index AS BIGINT) AS index, task_index, CAST(16 AS INT) AS width FROM k JOIN num ON k.episode_id = num.episode_id AND k.run = num.run",
+    "export_rows": f"{_RUNS}, k AS (SELECT fx.episode_id, fx.run, frame_idx, row_number() OVER (PARTITION BY fx.episode_id, fx.run ORDER BY frame_idx) - 1 AS frame_index FROM fx WHERE feasible) SELECT num.episode_index, frame_index, round(frame_index / 30, 6) AS timestamp, CAST(to_index - length + frame_index AS BIGINT) AS index, task_index, {_ACTION} FROM k JOIN num ON k.episode_id = num.episode_id AND k.run = num.run LEFT JOIN one r ON r.episode_id = k.episode_id AND r.frame_idx = k.frame_idx AND r.side = 0 LEFT JOIN one l ON l.episode_id = k.episode_id AND l.frame_idx = k.frame_idx AND l.side = 1",
     "export_validation": f"{_RUNS} SELECT true AS ok, '' AS errors, CAST(coalesce(sum(length), 0) AS BIGINT) AS frames, count(*) AS episodes FROM num",
     "workspace_translation": f"WITH {ONE}, m AS (SELECT episode_id, side, quantile_cont(pose.x, 0.5) AS x, quantile_cont(pose.y, 0.5) AS y, quantile_cont(pose.z, 0.5) AS z FROM one GROUP BY 1, 2) SELECT episode_id, round(avg(0.3 - x) + {TIE}, 6) AS x, round(avg(CASE WHEN side = 0 THEN -0.2 ELSE 0.2 END - y) + {TIE}, 6) AS y, round(avg(0.3 - z) + {TIE}, 6) AS z FROM m GROUP BY 1",
-    "plane_similarity": f"WITH {ONE}, j AS (SELECT a.episode_id, a.pose.x AS ax, a.pose.y AS ay, b.pose.x AS bx, b.pose.y AS by_ FROM one a JOIN one b ON a.episode_id = b.episode_id AND a.frame_idx = b.frame_idx AND a.side = 0 AND b.side = 1), f AS (SELECT * FROM j WHERE abs(ax) < 2 AND abs(ay) < 2 AND abs(bx) < 2 AND abs(by_) < 2), s AS (SELECT episode_id, covar_pop(ax, bx) + covar_pop(ay, by_) AS re, covar_pop(ax, by_) - covar_pop(ay, bx) AS im, var_pop(ax) + var_pop(ay) AS n FROM f GROUP BY 1) SELECT episode_id, round(least(greatest(CASE WHEN n = 0 THEN NULL ELSE sqrt(re*re + im*im) / n END, 0.35), 2.2), 4) AS scale FROM s",
+    "plane_similarity": f"WITH {ONE}, j AS (SELECT a.episode_id, a.pose.x AS ax, a.pose.y AS ay, b.pose.x AS bx, b.pose.y AS by_ FROM one a JOIN one b ON a.episode_id = b.episode_id AND a.frame_idx = b.frame_idx AND a.side = 0 AND b.side = 1), s AS (SELECT episode_id, covar_pop(ax, bx) + covar_pop(ay, by_) AS re, covar_pop(ax, by_) - covar_pop(ay, bx) AS im, var_pop(ax) + var_pop(ay) AS n, avg(ax) AS max_, avg(ay) AS may, avg(bx) AS mbx, avg(by_) AS mby FROM j WHERE ax IS NOT NULL AND ay IS NOT NULL AND bx IS NOT NULL AND by_ IS NOT NULL GROUP BY 1), r AS (SELECT *, least(greatest(CASE WHEN n = 0 THEN NULL ELSE sqrt(re*re + im*im) / n END, 0.35), 2.2) AS scale, atan2(im, re) AS angle FROM s) SELECT episode_id, round(scale + {TIE}, 4) AS scale, round(angle + {TIE}, 4) AS angle, round(mbx - scale * (cos(angle) * max_ - sin(angle) * may) + {TIE}, 4) AS dx, round(mby - scale * (sin(angle) * max_ + cos(angle) * may) + {TIE}, 4) AS dy FROM r",
 }
