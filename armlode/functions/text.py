@@ -40,3 +40,10 @@ def start_frame(from_timestamp: Column, fps: Column) -> Column:
 def action_frames(label: Column) -> Column:
     """The last end frame among an annotation's actions, 0 where it has none."""
     return F.coalesce(F.array_max(F.transform(label["action_config"], lambda a: a["end_frame"].cast("bigint"))), F.lit(0).cast("bigint"))
+
+
+def annotation_frames(annotation: Column) -> Column:
+    """:func:`action_frames` of an annotation in JSON, whose labels may stand under a misspelt key; 0 where it is broken or has none."""
+    kind = "struct<action_config:array<struct<end_frame:bigint>>>"
+    label = lambda key: F.from_json(F.get_json_object(annotation, f"$.{key}"), kind)
+    return F.greatest(action_frames(F.coalesce(label("label_info"), label("lable_info"))), F.lit(0).cast("long"))

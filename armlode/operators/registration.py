@@ -184,3 +184,16 @@ def plane_similarities(df: DataFrame, keys: Sequence[str], a: tuple[Column, Colu
 def calibration_report(fits: DataFrame, tool_offset_validated: bool, limit: float = 0.005) -> DataFrame:
     """Adds ``validated``: the residual is within the limit and the tool offset was measured."""
     return fits.withColumn("validated", F.coalesce((F.col("rms") <= limit) & F.lit(tool_offset_validated), F.lit(False)))
+
+
+def base_errors(episodes: DataFrame, metadata: str = "metadata") -> DataFrame:
+    """(episode_id): the episodes whose registration does not give both sides one shared base of seven numbers.
+
+    The registration is read from the JSON of ``metadata``; episodes without one, or with broken JSON, have no error.
+    """
+    at = lambda path: F.get_json_object(metadata, f"$.registration.{path}")
+    right, left = (F.from_json(at(f"openarm_from_source_base.{s}"), "array<double>") for s in ("right", "left"))
+    near = F.forall(F.zip_with(right, left, lambda a, b: F.abs(a - b) <= 1e-10 + 1e-5 * F.abs(b)), lambda x: x)
+    fine = (at("shared_base_frame") == "true") & (F.size(right) == 7) & (F.size(left) == 7) & near
+    whole = F.get_json_object(metadata, "$.registration")
+    return episodes.filter(whole.startswith("{") & (whole != "{}") & ~F.coalesce(fine, F.lit(False))).select("episode_id").distinct()

@@ -158,11 +158,14 @@ def moving_sides(motions: DataFrame, episode: str = "episode_id", least: float =
 def masked_average(df: DataFrame, keys: Sequence[str], order: str, value: str, weight: float, usable: Column, out: str) -> DataFrame:
     """Per key the exponential average after its last usable row: c <- (1 - weight) c + weight x, from the first usable x.
 
-    The rows of one key are folded in order by a higher-order function.
+    The recurrence is a weighted sum: a row j places before the last weighs weight (1 - weight)^j, the first one (1 - weight)^j. No
+    key's rows are collected.
     """
-    kept = df.filter(usable).groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(order, value))).alias("_s"))
-    first = F.get("_s", F.lit(0))[value].cast("double")
-    return kept.select(*keys, F.size("_s").alias("rows"), F.aggregate("_s", first, lambda c, x: (1 - weight) * c + weight * x[value]).alias(out))
+    kept = df.filter(usable).select(*keys, F.col(order).alias("_o"), F.col(value).cast("double").alias("_x"))
+    back = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("_o"), F.desc("_x"))) - 1
+    placed = kept.withColumns({"_j": back, "_n": F.count("*").over(Window.partitionBy(*keys))})
+    share = F.pow(F.lit(1.0 - weight), F.col("_j")) * F.when(F.col("_j") == F.col("_n") - 1, 1.0).otherwise(weight)
+    return placed.groupBy(*keys).agg(F.count("*").cast("int").alias("rows"), F.sum(F.col("_x") * share).alias(out))
 
 
 def smooth_track(df: DataFrame, keys: Sequence[str], order: str, value: str, out: str) -> DataFrame:
@@ -202,8 +205,13 @@ def overlap_windows(df: DataFrame, keys: Sequence[str], order: str, size: int, s
     w = ordered(keys, [order])
     rows = df.withColumns({"i": F.row_number().over(w) - 1, "_n": F.count("*").over(Window.partitionBy(*keys))})
     final = F.greatest(F.col("_n") - size, F.lit(0))
-    starts = F.array_distinct(F.array_append(F.filter(F.sequence(F.lit(0).cast("long"), final.cast("long"), F.lit(stride).cast("long")), lambda s: s <= final), final.cast("long")))
-    over = F.filter(starts, lambda s: (s <= F.col("i")) & (F.col("i") < s + size))
+    # of the starts only those whose window is over the row: at most size / stride of the grid, and the last one
+    low = F.greatest(F.floor((F.col("i") - size) / stride) + 1, F.lit(0)).cast("long")
+    high = F.least(F.floor(F.col("i") / stride), F.floor(final / stride)).cast("long")
+    none = F.array().cast("array<bigint>")
+    grid = F.when(low <= high, F.transform(F.sequence(low, high, F.lit(1).cast("long")), lambda k: k * stride)).otherwise(none)
+    tail = F.when((final % stride != 0) & (F.col("i") >= final) & (F.col("i") < final + size), F.array(final.cast("long"))).otherwise(none)
+    over = F.concat(grid, tail)
     length = F.least(F.lit(size), F.col("_n"))
     weight = F.aggregate(over, F.lit(0.0), lambda acc, s: acc + F.least(F.col("i") - s + 1, s + length - F.col("i")).cast("double"))
     return rows.select(*keys, F.col("i").cast("long").alias("i"), F.size(over).alias("windows"), weight.alias("weight_sum"))

@@ -87,6 +87,26 @@ def manifest_report(plan: DataFrame, keys: Sequence[str], frames: str, seconds:
     return agg.withColumn("errors", F.when(F.col("seconds") < requested, "selected duration is shorter than requested duration").otherwise(""))
 
 
+def manifest_errors(manifests: DataFrame, episodes: DataFrame, files: DataFrame, key: str) -> DataFrame:
+    """(key, episodes, frames, files, bytes, errors): what is wrong with each manifest, joined by '; '.
+
+    ``manifests`` holds (key, requested_seconds, selected_seconds, selected_frames, sample_rows, max_slice_bytes), one row per key, ``episodes`` (key,
+    frames) and ``files`` (key, bytes). Null counts of frames or a null ceiling are not stated: the episodes' sum and the ceiling
+    hold; a null number of sample rows is an error.
+    """
+    e = episodes.groupBy(key).agg(F.count("*").alias("episodes"), F.coalesce(F.sum("frames"), F.lit(0)).alias("frames"))
+    f = files.groupBy(key).agg(F.count("*").alias("files"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"))
+    d = manifests.join(e, key, "left").join(f, key, "left").fillna(0, ["episodes", "frames", "files", "bytes"])
+    errors = F.array_compact(F.array(
+        F.when(F.col("selected_seconds") < F.col("requested_seconds"), "selected duration is shorter than requested duration"),
+        F.when(F.coalesce("selected_frames", "frames") != F.col("frames"), "selected_frames does not equal the episode frame sum"),
+        F.when(~F.col("sample_rows").eqNullSafe(F.col("frames")), "sample_rows does not equal the episode frame sum"),
+        F.when(F.col("files") == 0, "manifest contains no files"),
+        F.when(F.col("bytes") > F.coalesce("max_slice_bytes", F.lit(CEILING)), "files exceed the slice limit"),
+    ))
+    return d.select(key, "episodes", "frames", "files", "bytes", F.array_join(errors, "; ").alias("errors"))
+
+
 def remaining(work: DataFrame, done: DataFrame, keys: Sequence[str], signature: str = "signature") -> DataFrame:
     """Work not yet done: no committed row has its key, its signature and a feasible frame."""
     fine = done.filter("feasible_frames > 0").select(*keys, signature)

@@ -219,6 +219,23 @@ def manifest_report(spark, base):
     return A.manifest_report(d, ["source"], "frames", "ms", 120_000).withColumnRenamed("seconds", "ms")
 
 
+def manifest_check(spark, base):
+    """A manifest per source over its rows as they are, repeated ones too, against its recordings: frame sums, sizes, files."""
+    rows = table(spark, base, "selected_episodes").filter("episode_index is not null").withColumn("source", source_key("source_dataset"))
+    plan = _plan(spark, base)
+    m = rows.groupBy("source").agg(
+        F.lit(120_000).alias("requested_seconds"), F.sum(F.round(F.col("seconds") * 1000).cast("long")).alias("selected_seconds"), F.sum("frames").alias("selected_frames"),
+        F.sum(F.when(F.col("seconds").isNotNull(), F.col("frames"))).alias("sample_rows"), F.lit(2_000_000_000).cast("long").alias("max_slice_bytes"),
+    )
+    files = plan.filter("data_file is not null").groupBy("source", "data_file").agg((F.sum("frames") * 20_000).alias("bytes"))
+    return A.manifest_errors(m, plan.select("source", "frames"), files, "source")
+
+
+def shared_base(spark, base):
+    """Episodes whose registration gives its sides no common base."""
+    return R.base_errors(_episodes(spark, base))
+
+
 def resume_work(spark, base):
     """Episodes without a conversion that has feasible frames and was made with the episode's own task and rate.
 
@@ -321,7 +338,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         column_statistics, three_numbers, audit_limits, audit_all, benchmark_rollup, weighted_vs_mean, level_psnr, path_length, worst_k, best_per_group, source_totals, selected_semi, missing_anti, range_semi, metadata_lookup,
-        frame_equi, positional_zip, outer_parity, constant_or_framed, hash_equality, nearest_centre, as_of, set_ops, keyword_select, planned_episodes, planned_files, camera_segments, manifest_report, resume_work, names_and_slugs,
+        frame_equi, positional_zip, outer_parity, constant_or_framed, hash_equality, nearest_centre, as_of, set_ops, keyword_select, planned_episodes, planned_files, camera_segments, manifest_report, manifest_check, shared_base, resume_work, names_and_slugs,
         archive_numbers, json_fallback, content_hash, declared_rates, export_runs, export_rows, export_validation, workspace_translation, plane_similarity, rotation_mean, rigid_fit, registered,
     )
 }
@@ -371,6 +388,8 @@ SQL = {
     "planned_files": f"WITH {PLAN}, f AS (SELECT source, data_file AS file, 'data' AS kind FROM plan WHERE data_file IS NOT NULL UNION ALL SELECT source, v AS file, 'video' AS kind FROM (SELECT source, unnest(video_files) AS v FROM plan) WHERE contains(v, '/observation.images.front/')) SELECT source, file, kind, count(*) AS episodes FROM f GROUP BY 1, 2, 3",
     "camera_segments": f"WITH {PLAN}, {CFG}, s AS (SELECT plan.source, episode_index, source_fps, unnest(video_segments) AS s FROM plan JOIN cfg ON plan.source = cfg.source) SELECT source, episode_index, s.key AS camera, s.file AS file, CAST(round_even(s.from_timestamp * source_fps, 0) AS BIGINT) AS first_frame, round(s.to_timestamp - s.from_timestamp + {TIE}, 5) AS seconds FROM s",
     "manifest_report": f"WITH {PLAN}, a AS (SELECT source, count(*) AS episodes, CAST(sum(frames) AS BIGINT) AS frames, CAST(sum(CAST(round(seconds * 1000) AS BIGINT)) AS BIGINT) AS ms FROM plan GROUP BY 1) SELECT *, CASE WHEN ms < 120000 THEN 'selected duration is shorter than requested duration' ELSE '' END AS errors FROM a",
+    "manifest_check": f"WITH {PLAN}, m AS (SELECT {_SRC} AS source, sum(CAST(round(seconds * 1000) AS BIGINT)) AS ms, sum(frames) AS fr, sum(frames) FILTER (seconds IS NOT NULL) AS sr FROM selected_episodes WHERE episode_index IS NOT NULL GROUP BY 1), e AS (SELECT source, count(*) AS episodes, coalesce(sum(frames), 0) AS frames FROM plan GROUP BY 1), f AS (SELECT source, count(*) AS files, coalesce(sum(b), 0) AS bytes FROM (SELECT source, data_file, sum(frames) * 20000 AS b FROM plan WHERE data_file IS NOT NULL GROUP BY 1, 2) GROUP BY 1), d AS (SELECT m.*, coalesce(episodes, 0) AS episodes, coalesce(frames, 0) AS frames, coalesce(files, 0) AS files, coalesce(bytes, 0) AS bytes FROM m LEFT JOIN e ON m.source = e.source LEFT JOIN f ON m.source = f.source) SELECT source, CAST(episodes AS BIGINT) AS episodes, CAST(frames AS BIGINT) AS frames, CAST(files AS BIGINT) AS files, CAST(bytes AS BIGINT) AS bytes, array_to_string(list_filter([CASE WHEN ms < 120000 THEN 'selected duration is shorter than requested duration' END, CASE WHEN coalesce(fr, frames) <> frames THEN 'selected_frames does not equal the episode frame sum' END, CASE WHEN sr IS DISTINCT FROM frames THEN 'sample_rows does not equal the episode frame sum' END, CASE WHEN files = 0 THEN 'manifest contains no files' END, CASE WHEN bytes > 2000000000 THEN 'files exceed the slice limit' END], lambda x: x IS NOT NULL), '; ') AS errors FROM d",
+    "shared_base": "WITH r AS (SELECT episode_id, json_extract(metadata, '$.registration') AS g FROM episodes WHERE json_valid(metadata)), b AS (SELECT episode_id, g, json_extract_string(g, '$.shared_base_frame') AS s, try_cast(json_extract(g, '$.openarm_from_source_base.right') AS DOUBLE[]) AS rt, try_cast(json_extract(g, '$.openarm_from_source_base.left') AS DOUBLE[]) AS lt FROM r WHERE json_type(g) = 'OBJECT' AND CAST(g AS VARCHAR) <> '{}') SELECT DISTINCT episode_id FROM b WHERE NOT coalesce(s = 'true' AND len(rt) = 7 AND len(lt) = 7 AND list_bool_and([abs(rt[i] - lt[i]) <= 1e-10 + 1e-5 * abs(lt[i]) FOR i IN range(1, 8)]), false)",
     "resume_work": f"WITH {CFG}, e AS (SELECT episode_id, min(fps) AS fps, min({_SRC}) AS source FROM episodes GROUP BY 1), d AS (SELECT episode_id FROM frames GROUP BY 1 HAVING count(*) FILTER (feasible) > 0), fresh AS (SELECT e.episode_id FROM e LEFT JOIN cfg ON e.source = cfg.source JOIN d ON d.episode_id = e.episode_id WHERE e.fps IS NOT DISTINCT FROM cfg.source_fps) SELECT episode_id FROM e ANTI JOIN fresh ON e.episode_id = fresh.episode_id",
     "names_and_slugs": "SELECT name, trim(regexp_replace(lower(name), '[^a-z0-9]+', '_', 'g'), '_') AS slug, replace(repo_id, '/', '__') AS folder, split_part(repo_id, '/', 1) AS owner FROM source_config",
     "archive_numbers": f"WITH {PLAN}, f AS (SELECT DISTINCT data_file FROM plan WHERE data_file IS NOT NULL), n AS (SELECT data_file, try_cast(regexp_extract(data_file, 'chunk-(\\d+)/file-(\\d+)\\.parquet$', 1) AS BIGINT) AS chunk, try_cast(regexp_extract(data_file, 'chunk-(\\d+)/file-(\\d+)\\.parquet$', 2) AS BIGINT) AS file FROM f) SELECT data_file, chunk, file, printf('data/chunk-%03d/file-%03d.parquet', chunk, file) AS again FROM n",
