@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from armlode.functions import pose as P
 from armlode.operators import sequence as S
 from armlode.operators.frames import active_sides, canonical, side_window
+from armlode.operators.scale import stored
 
 JOINTS = tuple(f"q{i}" for i in range(1, 8))
 
@@ -60,18 +61,59 @@ def feasibility_report(frames: DataFrame, episodes: DataFrame, limits: Limits =
     return d.groupBy("episode_id").agg(F.count("*").alias("frames"), n.alias("feasible_frames"), F.count_distinct(F.when(F.col("feasible"), F.col("run"))).alias("runs"), F.round(n / F.greatest(F.count("*"), F.lit(1)), 6).alias("feasible_fraction"))
 
 
+#: Steps an octave of the scale on which values are first counted for exact quantiles.
+STEPS = 16
+
+
+def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, shares: dict[str, float]) -> DataFrame:
+    """(keys, one column a share): exact quantiles per key, between two values in proportion; nulls and NaN are left out.
+
+    No task holds a key's values. They are counted on a logarithmic scale first, so that each wanted rank falls into one step of it;
+    then only the values of those steps are counted one by one and ranked within their step. ``df`` is read twice.
+    """
+    v = F.col(value).cast("double")
+    step = F.least(F.floor((F.log2(F.abs(v)) + 1100) * STEPS), F.lit(2200 * STEPS)).cast("int")
+    rows = df.filter(v.isNotNull() & ~F.isnan(v)).select(F.to_json(F.struct(F.lit(0).alias("_"), *keys), {"ignoreNullFields": "false"}).alias("_k"), *keys, v.alias("_v"), F.when(v == 0, 0).when(v > 0, step + 1).otherwise(-step - 1).alias("_s"))
+    of = Window.partitionBy("_k")
+    steps = rows.groupBy("_k", "_s").agg(F.count("*").alias("n"), *[F.first(k).alias(k) for k in keys])
+    steps = steps.withColumns({"ahead": F.sum("n").over(of.orderBy("_s")) - F.col("n"), "all": F.sum("n").over(of)})
+    places = [F.lit(p) * (F.col("all") - 1) for p in shares.values()]
+    ranks = F.array_distinct(F.flatten(F.array(*[F.array(F.floor(c), F.ceil(c)) for c in places])))
+    wanted = steps.withColumn("ranks", F.filter(ranks, lambda r: (r >= F.col("ahead")) & (r < F.col("ahead") + F.col("n")))).filter(F.size("ranks") > 0).select("_k", "_s", *keys, "ahead", "all", "ranks")
+    counts = rows.select("_k", "_s", "_v").join(wanted.select("_k", "_s"), ["_k", "_s"], "left_semi").groupBy("_k", "_s", "_v").agg(F.count("*").alias("n"))
+    within = counts.withColumn("upto", F.sum("n").over(Window.partitionBy("_k", "_s").orderBy("_v")))
+    hit = within.join(wanted, ["_k", "_s"]).withColumn("rank", F.explode(F.filter("ranks", lambda r: (r - F.col("ahead") < F.col("upto")) & (r - F.col("ahead") >= F.col("upto") - F.col("n")))))
+
+    def between(p: float) -> Column:
+        place = F.lit(p) * (F.col("all") - 1)
+        low, high = (F.max(F.when(F.col("rank") == r, F.col("_v"))) for r in (F.floor(place), F.ceil(place)))
+        part = F.max(place - F.floor(place))
+        return F.when(part == 0, low).otherwise(low + (high - low) * part)
+
+    return hit.groupBy("_k", *keys).agg(*[between(p).alias(n) for n, p in shares.items()]).drop("_k")
+
+
+def _beside(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Two tables of one row per key side by side; null keys are keys."""
+    named = b.select(*[F.col(k).alias(f"_{k}") for k in keys], *[c for c in b.columns if c not in keys])
+    on = F.lit(True)
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    return a.join(named, on, "left").drop(*[f"_{k}" for k in keys])
+
+
 def column_statistics(df: DataFrame, keys: Sequence[str], vector: str) -> DataFrame:
     """Per key and place of a vector: least, greatest, mean, population deviation, count and five quantiles."""
-    flat = df.select(*keys, F.posexplode(vector).alias("pos", "v"))
-    q = F.percentile("v", F.array(*[F.lit(x) for x in (0.01, 0.1, 0.5, 0.9, 0.99)]))
-    agg = flat.groupBy(*keys, "pos").agg(F.min("v").alias("min"), F.max("v").alias("max"), F.avg("v").alias("mean"), F.stddev_pop("v").alias("std"), F.count("v").alias("count"), q.alias("q"))
-    return agg.select(*keys, "pos", "min", "max", "mean", "std", "count", *[F.get("q", F.lit(i)).alias(n) for i, n in enumerate(("q01", "q10", "q50", "q90", "q99"))])
+    flat = stored(df.select(*keys, vector)).select(*keys, F.posexplode(vector).alias("pos", "v"))
+    agg = flat.groupBy(*keys, "pos").agg(F.min("v").alias("min"), F.max("v").alias("max"), F.avg("v").alias("mean"), F.stddev_pop("v").alias("std"), F.count("v").alias("count"))
+    return _beside(agg, exact_quantiles(flat, [*keys, "pos"], "v", {"q01": 0.01, "q10": 0.1, "q50": 0.5, "q90": 0.9, "q99": 0.99}), [*keys, "pos"])
 
 
 def three_numbers(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Mean, 95th percentile and greatest of a value; NaN counts as missing."""
-    v = F.when(~F.isnan(value), F.col(value))
-    return df.groupBy(*keys).agg(F.avg(v).alias("mean"), F.percentile(v, 0.95).alias("p95"), F.max(v).alias("max"))
+    rows = stored(df.select(*keys, F.when(~F.isnan(value), F.col(value)).alias("_value")))
+    agg = rows.groupBy(*keys).agg(F.avg("_value").alias("mean"), F.max("_value").alias("max"))
+    return _beside(agg, exact_quantiles(rows, keys, "_value", {"p95": 0.95}), keys).select(*keys, "mean", "p95", "max")
 
 
 def audit(frames: DataFrame, episodes: DataFrame, limits: Limits = Limits()) -> DataFrame:
