@@ -273,7 +273,7 @@ def regular_grid(frames: DataFrame, episodes: DataFrame, source_config: DataFram
     far, anchors = far_readings(placed, heads.filter(F.col("top") > 0))
     given = given.unionByName(far.withColumn("kind", F.lit(1)), allowMissingColumns=True)
     led = heads.drop("top").join(anchors, ["episode_id", "side", "_block"], "left")
-    return map_sorted_groups(led.unionByName(given, allowMissingColumns=True), ["episode_id", "side", "_block"], ["kind", "t"], _fill, SCHEMA)
+    return map_sorted_groups(led.unionByName(given, allowMissingColumns=True), ["episode_id", "side", "_block"], ["kind", "t", *DIMS], _fill, SCHEMA)
 
 
 def missing_slots(frames: DataFrame, episodes: DataFrame, source_config: DataFrame) -> DataFrame:
