@@ -12,7 +12,7 @@ SPIKE_LEAST, SPIKE_TIMES, SPIKE_AROUND = 4, 8.0, 200
 #: A field limited in bytes ends before a character that would not fit.
 BYTES_SHORT = 3
 #: Characters at the end of a text that are searched for its last line that is no comment; where they hold none whole, the text is.
-#: How that line ends is read from its last characters.
+#: How a text ends is read from that line whole, or from so many characters where it is shorter.
 TAIL, END = 1024, 300
 
 # How texts end.
@@ -67,7 +67,9 @@ def endings(documents: DataFrame) -> DataFrame:
     # without a line break it may be the rest of a line whose start, perhaps a comment's, lies further ahead
     partial = ~F.col("_end.rest").contains("\n") & (F.length("text") > TAIL)
     d = d.withColumn("_end", F.when(partial, ends(F.col("text"))).otherwise(F.col("_end")))
-    d = d.withColumns({"closed": F.col("_end.closed"), "ending": F.right(F.col("_end.rest"), F.lit(END)), "_line": F.substring_index("_end.rest", "\n", -1)}).drop("_end")
+    d = d.withColumns({"closed": F.col("_end.closed"), "_line": F.substring_index("_end.rest", "\n", -1)})
+    # the whole last line, however long; a short one with what stands before it
+    d = d.withColumn("ending", F.when(F.length("_line") > END, F.col("_line")).otherwise(F.right(F.col("_end.rest"), F.lit(END)))).drop("_end")
     end = F.col("ending")
     line = F.col("_line")
     # an odd number of dollars in the last line: a formula that is not closed

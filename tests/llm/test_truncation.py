@@ -33,6 +33,12 @@ def test_cut_texts(spark):
     assert [CUT[i] for i in got if got[i] is None] == [] and len(got) == len(CUT)
 
 
+def test_a_last_line_of_any_length_is_read_whole(spark):
+    long = ",".join(f"part{i}" for i in range(400))
+    got = reasons(spark, [f"We end.\n\\bibliography{{{long}}}", f"We end.\nKeywords: {long}", f"We end.\n\\bibliography{{{long}", "word " * 900 + "end."])
+    assert got == {0: None, 1: None, 2: "broken", 3: None}
+
+
 def test_length_spikes_and_dots_at_the_limit(spark):
     import random
 
