@@ -24,6 +24,8 @@ LOOKUP_WORDS = 1 << 17
 RANK_BUCKETS, WORD_BUCKETS = 1 << 13, 1 << 16
 #: Token ids are kept as characters from this code point on while merges run.
 _FIRST_CHAR = 0x100
+#: What stands between the pieces of a word; no token has this character.
+_CUT = "|"
 
 
 def load_ranks(name: str, folder: str = TOKENIZERS) -> dict[bytes, int]:
@@ -69,17 +71,34 @@ def _rank_map(spark: SparkSession, ranks: dict[bytes, int]) -> Column:
     return _literal(spark, buckets, "struct<k:array<bigint>,v:array<int>>", "bpe_ranks")
 
 
+def _followers(ranks: dict[bytes, int]) -> list[bytearray]:
+    """For each byte 256 flags: the bytes that come right after it in any token."""
+    flags = [bytearray(256) for _ in range(256)]
+    for piece in ranks:
+        for a, b in zip(piece, piece[1:]):
+            flags[a][b] = 1
+    return flags
+
+
 def encode_word(spark: SparkSession, word: Column, ranks: dict[bytes, int]) -> Column:
-    """The token ids of a word: its bytes, then ranked merges folded over them.
+    """The token ids of a word: its bytes, cut into pieces, then ranked merges folded over each piece.
 
-    Each step of the fold merges, from left to right, every place of the pair that comes first in rank, as a
-    replacement of two characters by one; steps after the last merge pass the word on.
+    A word is cut between two bytes that stand side by side in no token of the vocabulary: no merge can ever cross
+    such a place, so the pieces' ids in order are the word's. Each step of a fold merges, from left to right, every
+    place of the pair that comes first in rank, as a replacement of two characters by one; steps after the last merge
+    pass the piece on. A step touches one piece only, so a long word costs in proportion to its pieces.
     """
     table = _rank_map(spark, ranks)
     chars = _literal(spark, [chr(_FIRST_CHAR + i) for i in range(max(ranks.values()) + 1)], "string", "bpe_chars")
     byte_ids = _literal(spark, [ranks[bytes([b])] for b in range(256)], "int", "bpe_bytes")
     hexes = F.regexp_extract_all(F.hex(F.encode(word, "utf-8")), F.lit(".."), F.lit(0))
-    first = F.transform(hexes, lambda h: F.get(byte_ids, F.conv(h, 16, 10).cast("int")))
+    numbers = F.transform(hexes, lambda h: F.conv(h, 16, 10).cast("int"))
+    together = _literal(spark, _followers(ranks), "binary", "bpe_followers")
+    apart = lambda a, b: F.substring(F.get(together, a), b + 1, 1) == F.lit(b"\0")
+    char = lambda n: F.get(chars, F.get(byte_ids, n))
+    # the last byte has no follower: it is joined with a null
+    marked = F.zip_with(numbers, F.slice(numbers, F.lit(2), F.greatest(F.size(numbers) - 1, F.lit(0))), lambda a, b: F.concat(char(a), F.when(apart(a, b), F.lit(_CUT)).otherwise(F.lit(""))))
+    pieces = F.split(F.array_join(marked, ""), rf"\{_CUT}")
 
     def merged(a: Column, b: Column) -> Column:
         key = F.shiftleft(a.cast("long"), 20) + b
@@ -96,8 +115,12 @@ def encode_word(spark: SparkSession, word: Column, ranks: dict[bytes, int]) -> C
         after = F.transform(F.split(F.replace(text, pair, F.get(chars, best)), ""), lambda c: (F.ascii(c) - _FIRST_CHAR).cast("int"))
         return F.when(state["done"] | (n < 2), state).otherwise(F.when(best.isNull(), F.struct(ids.alias("ids"), F.lit(True).alias("done"))).otherwise(F.struct(after.alias("ids"), F.lit(False).alias("done"))))
 
-    start = F.struct(first.alias("ids"), F.lit(False).alias("done"))
-    return F.aggregate(F.sequence(F.lit(1), F.greatest(F.size(first) - 1, F.lit(1))), start, step, lambda s: s["ids"])
+    def folded(piece: Column) -> Column:
+        first = F.transform(F.split(piece, ""), lambda c: (F.ascii(c) - _FIRST_CHAR).cast("int"))
+        start = F.struct(first.alias("ids"), F.lit(False).alias("done"))
+        return F.aggregate(F.sequence(F.lit(1), F.greatest(F.length(piece) - 1, F.lit(1))), start, step, lambda s: s["ids"])
+
+    return F.flatten(F.transform(pieces, folded))
 
 
 def encoded_words(documents: DataFrame, tokenizer: str, folder: str = TOKENIZERS) -> DataFrame:

@@ -38,6 +38,18 @@ def test_words_beyond_the_lookup_table_are_joined(spark):
     assert sizes == [(i, len(x)) for i, x in got] and sizes == sorted((r["doc_id"], r["tokens"]) for r in tokens.count_tokens(d).collect())
 
 
+def test_long_words_are_cut_where_no_token_reaches_across(spark):
+    import random
+
+    from tokenizers import Tokenizer
+
+    r = random.Random(5)
+    words = ["".join(r.choice(letters) for _ in range(n)) for letters, n in (("abcdefghijklmnopqrstuvwxyz", 20000), ("aQzX9é中", 5000), ("aeionrst", 400), ("的一是在不", 3000))]
+    got = {r["doc_id"]: r["ids"] for r in tokens.encode_documents(spark.createDataFrame(list(enumerate(words)), "doc_id long, text string")).collect()}
+    t = Tokenizer.from_file(f"{tokens.TOKENIZERS}/byte_bpe_50k.json")
+    assert [got[i] for i in range(len(words))] == [t.encode(w, add_special_tokens=False).ids for w in words]
+
+
 def test_round_trip(spark):
     back = {r["doc_id"]: r["text"] for r in tokens.decode_ids(tokens.encode_documents(docs(spark))).collect()}
     assert [back[i] for i in range(len(TEXTS))] == [x or "" for x in TEXTS]
