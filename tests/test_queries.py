@@ -11,9 +11,9 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SMALL), reason="no test tables
 
 
 def names():
-    from armlode.queries import poses, problems, relational, sequence, solved
+    from armlode.queries import poses, problems, relational, renders, sequence, solved
 
-    return [(m, n) for m in (sequence, poses, relational, solved, problems) for n in m.QUERIES]
+    return [(m, n) for m in (sequence, poses, relational, solved, renders, problems) for n in m.QUERIES]
 
 
 def cell(x):
