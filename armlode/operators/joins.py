@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from armlode.operators.scale import union_rows
+
 
 def selected(rows: DataFrame, chosen: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Semi join: rows whose key is among the chosen, once each."""
@@ -72,6 +74,6 @@ def as_of(left: DataFrame, right: DataFrame, keys: Sequence[str], at: str, value
     """For each left row the last right values at or before its time: one union, one window, no range join."""
     a = left.withColumn("_left", F.lit(True))
     b = right.select(*keys, at, *[F.col(v).alias(f"_r_{v}") for v in values]).withColumn("_left", F.lit(False))
-    both = a.unionByName(b, allowMissingColumns=True)
+    both = union_rows(a, b)
     w = Window.partitionBy(*keys).orderBy(at, "_left").rowsBetween(Window.unboundedPreceding, 0)
     return both.withColumns({v: F.last(F.when(~F.col("_left"), F.struct(f"_r_{v}")), ignorenulls=True).over(w)[f"_r_{v}"] for v in values}).filter("_left").select(*left.columns, *values)

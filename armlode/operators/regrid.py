@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from armlode.operators.frames import finite_or_null
-from armlode.operators.scale import bounded_broadcast, map_sorted_groups, stored, with_blocks
+from armlode.operators.scale import bounded_broadcast, map_sorted_groups, stored, with_blocks, union_rows
 from armlode.sources.tables import source_key
 
 POSE = ("x", "y", "z", "qx", "qy", "qz", "qw")
@@ -95,7 +95,7 @@ def far_readings(rows: DataFrame, heads: DataFrame) -> tuple[DataFrame, DataFram
         none = F.array().cast(near.schema["before"].dataType)
         taken = near.select(*keys, "first", "last", F.explode(F.concat(F.coalesce("before", none), F.coalesce("after", none))).alias("r")).select(*keys, "first", "last", "r.*")
         taken = taken.filter((F.col("slot") < F.col("first") - HALO) | (F.col("slot") > F.col("last") + HALO)).drop("first", "last")
-        far = taken if far is None else far.unionByName(taken, allowMissingColumns=True)
+        far = taken if far is None else union_rows(far, taken)
     return far, anchors
 
 
@@ -271,9 +271,9 @@ def regular_grid(frames: DataFrame, episodes: DataFrame, source_config: DataFram
     )
     given = rows.select("episode_id", "side", "_block", F.lit(1).alias("kind"), "t", "slot", *DIMS)
     far, anchors = far_readings(placed, heads.filter(F.col("top") > 0))
-    given = given.unionByName(far.withColumn("kind", F.lit(1)), allowMissingColumns=True)
+    given = union_rows(given, far.withColumn("kind", F.lit(1)))
     led = heads.drop("top").join(anchors, ["episode_id", "side", "_block"], "left")
-    return map_sorted_groups(led.unionByName(given, allowMissingColumns=True), ["episode_id", "side", "_block"], ["kind", "t", *DIMS], _fill, SCHEMA)
+    return map_sorted_groups(union_rows(led, given), ["episode_id", "side", "_block"], ["kind", "t", *DIMS], _fill, SCHEMA)
 
 
 def missing_slots(frames: DataFrame, episodes: DataFrame, source_config: DataFrame) -> DataFrame:

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from armlode.operators.scale import union_rows
+
 #: The bounds of a placement's scale, by whether it is fitted to one frame or to an image border.
 FRAME_SCALE, BORDER_SCALE = (0.35, 4.0), (0.35, 2.2)
 
@@ -34,7 +36,7 @@ def scene_objects(objects: DataFrame, active: DataFrame, keys: Sequence[str], na
 def framed(objects: DataFrame, frames: DataFrame, keys: Sequence[str], frame: str = "frame_idx") -> DataFrame:
     """The objects at every frame: those with a frame at that frame, those with a null frame (they do not move) at all frames."""
     fixed = objects.filter(F.col(frame).isNull()).drop(frame).join(frames.select(*keys, frame), list(keys))
-    return objects.filter(F.col(frame).isNotNull()).unionByName(fixed.select(*objects.columns))
+    return union_rows(objects.filter(F.col(frame).isNotNull()), fixed.select(*objects.columns))
 
 
 def side_centres(points: DataFrame, keys: Sequence[str], name: str, u: str, v: str) -> DataFrame:

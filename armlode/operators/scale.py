@@ -130,7 +130,18 @@ def with_neighbours(df: DataFrame, keys: Sequence[str], position: str, block: in
     hit = df.withColumn("_bucket", bucket).join(bounded_broadcast(wanted), [*keys, "_bucket"])
     beyond = (pos < F.col("_to") * block - halo) | (pos >= (F.col("_to") + 1) * block + halo)
     extra = hit.filter(beyond).select(*df.columns, F.col("_to").alias("_block"), F.lit(False).alias("_core"))
-    return with_blocks(df, position, block, halo).unionByName(extra)
+    return union_rows(with_blocks(df, position, block, halo), extra)
+
+
+def union_rows(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Rows of both; missing columns are null.
+
+    Where both sides are already partitioned alike, Spark 4.1 takes their union to be so too, and adaptive execution may
+    then pair partitions that were coalesced differently: groups come out in parts (a ``repartition`` after the union is
+    planned away for the same reason). That shortcut is switched off in the session, so what groups the union shuffles it.
+    """
+    a.sparkSession.conf.set("spark.sql.unionOutputPartitioning", "false")
+    return a.unionByName(b, allowMissingColumns=True)
 
 
 def sorted_groups(frames: Iterator[pd.DataFrame], keys: list[str], rows: int = 60_000) -> Iterator[tuple[pd.DataFrame, np.ndarray]]:

@@ -10,6 +10,7 @@ from armlode.functions import gripper as G
 from armlode.functions import pose as P
 from armlode.operators import renders as R
 from armlode.operators.frames import active_sides, canonical
+from armlode.operators.scale import union_rows
 from armlode.queries.poses import _TARGET, TIE, UNIT
 from armlode.queries.sequence import ACTIVE, ONE
 from armlode.sources.tables import source_key, table
@@ -81,7 +82,7 @@ def render_runtimes(spark, base):
     scenes = _named(spark, base).join(now, "episode_id").select("episode_id", F.explode(F.when(F.size("sides") == 2, F.col("sides")).otherwise(F.array(F.lit("both")))).alias("side"), "signature")
     m = _manifests(spark, base)
     whole = m.groupBy("episode_id").agg(F.lit("both").alias("side"), F.max("seconds").alias("seconds"), F.sum("missing").alias("missing"), F.min("signature").alias("signature"))
-    r = R.render_runtimes(scenes, m.unionByName(whole), ["episode_id"])
+    r = R.render_runtimes(scenes, union_rows(m, whole), ["episode_id"])
     return r.select("episode_id", F.round(F.col("seconds") + TIE, 6).alias("seconds"), "error")
 
 
