@@ -65,12 +65,25 @@ def export_rows(frames: DataFrame, episodes: DataFrame, fps: int = 30, limits: L
     return rows.select("episode_index", "frame_index", (F.col("frame_index") / F.lit(fps)).alias("timestamp"), (F.col("from_index") + F.col("frame_index")).alias("index"), "task_index", "action")
 
 
+#: Type and shape of the columns of a dataset.
+FEATURES = {"action": ("float32", 16), "timestamp": ("float64", 1), "frame_index": ("int64", 1), "episode_index": ("int64", 1), "index": ("int64", 1), "task_index": ("int64", 1)}
+
+
+def dataset_info(runs: DataFrame, fps: int = 30, calibrated: bool = True) -> DataFrame:
+    """One row: totals, rate, splits and features of a dataset, from its numbered runs; an empty dataset has zeros."""
+    features = F.struct(*[F.struct(F.lit(kind).alias("dtype"), F.array(F.lit(n)).alias("shape")).alias(c) for c, (kind, n) in FEATURES.items()])
+    one = runs.agg(F.count("*").alias("total_episodes"), F.coalesce(F.sum("length"), F.lit(0)).alias("total_frames"), F.count_distinct("task_index").alias("total_tasks"))
+    splits = F.struct(F.concat(F.lit("0:"), F.col("total_episodes").cast("string")).alias("train"))
+    return one.withColumns({"fps": F.lit(fps), "splits": splits, "features": features, "position_unit": F.lit("metre"), "quaternion_order": F.lit("xyzw"), "calibration_validated": F.lit(calibrated)})
+
+
 def write_dataset(frames: DataFrame, episodes: DataFrame, path: str, fps: int = 30, limits: Limits = Limits()) -> None:
-    """Data, episodes, tasks and statistics as Parquet (zstd) folders; data in order of ``index``, one range per file."""
+    """Data, episodes, tasks and statistics as Parquet (zstd) folders, totals and features as JSON; data in order of ``index``, one range per file."""
     rows = export_rows(frames, episodes, fps, limits)
     rows.repartitionByRange("index").sortWithinPartitions("index").write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/data")
-    runs = numbered_runs(export_runs(frames, episodes, limits), episodes)
-    runs.write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/meta/episodes")
+    numbered_runs(export_runs(frames, episodes, limits), episodes).write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/meta/episodes")
+    runs = rows.sparkSession.read.parquet(f"{path}/meta/episodes")
+    dataset_info(runs, fps).coalesce(1).write.mode("overwrite").json(f"{path}/meta/info")
     runs.select("task_index", "task").distinct().write.mode("overwrite").parquet(f"{path}/meta/tasks")
     data = rows.sparkSession.read.parquet(f"{path}/data")
     column_statistics(data, [], "action").write.mode("overwrite").parquet(f"{path}/meta/stats")

@@ -290,6 +290,12 @@ def export_rows(spark, base):
     return E.export_rows(table(spark, base, "frames"), _episodes(spark, base)).select("episode_index", "frame_index", F.round("timestamp", 6).alias("timestamp"), "index", "task_index", *[(F.round(F.get("action", F.lit(i)).cast("double") + TIE, 5) + 0.0).alias(f"a{i}") for i in range(16)])
 
 
+def export_info(spark, base):
+    """Totals and splits of the dataset."""
+    runs = E.numbered_runs(E.export_runs(table(spark, base, "frames"), _episodes(spark, base)), _episodes(spark, base))
+    return E.dataset_info(runs).select("total_episodes", "total_frames", "total_tasks", "fps", F.col("splits.train").alias("train"))
+
+
 def export_validation(spark, base):
     f, e = table(spark, base, "frames"), _episodes(spark, base)
     return E.validate_export(E.export_rows(f, e), E.export_runs(f, e))
@@ -339,7 +345,7 @@ QUERIES = {
     for f in (
         column_statistics, three_numbers, audit_limits, audit_all, benchmark_rollup, weighted_vs_mean, level_psnr, path_length, worst_k, best_per_group, source_totals, selected_semi, missing_anti, range_semi, metadata_lookup,
         frame_equi, positional_zip, outer_parity, constant_or_framed, hash_equality, nearest_centre, as_of, set_ops, keyword_select, planned_episodes, planned_files, camera_segments, manifest_report, manifest_check, shared_base, resume_work, names_and_slugs,
-        archive_numbers, json_fallback, content_hash, declared_rates, export_runs, export_rows, export_validation, workspace_translation, plane_similarity, rotation_mean, rigid_fit, registered,
+        archive_numbers, json_fallback, content_hash, declared_rates, export_runs, export_rows, export_info, export_validation, workspace_translation, plane_similarity, rotation_mean, rigid_fit, registered,
     )
 }
 
@@ -398,6 +404,7 @@ SQL = {
     "declared_rates": f"WITH {CFG}, e AS (SELECT DISTINCT episode_id, {_SRC} AS source, fps FROM episodes) SELECT episode_id, fps, source_fps FROM e JOIN cfg ON e.source = cfg.source WHERE fps IS NULL OR fps <> source_fps",
     "export_runs": f"{_RUNS} SELECT episode_id, start, last, length, episode_index, CAST(to_index - length AS BIGINT) AS from_index, CAST(to_index AS BIGINT) AS to_index, task_index FROM num",
     "export_rows": f"{_RUNS}, k AS (SELECT fx.episode_id, fx.run, frame_idx, row_number() OVER (PARTITION BY fx.episode_id, fx.run ORDER BY frame_idx) - 1 AS frame_index FROM fx WHERE feasible) SELECT num.episode_index, frame_index, round(frame_index / 30, 6) AS timestamp, CAST(to_index - length + frame_index AS BIGINT) AS index, task_index, {_ACTION} FROM k JOIN num ON k.episode_id = num.episode_id AND k.run = num.run LEFT JOIN one r ON r.episode_id = k.episode_id AND r.frame_idx = k.frame_idx AND r.side = 0 LEFT JOIN one l ON l.episode_id = k.episode_id AND l.frame_idx = k.frame_idx AND l.side = 1",
+    "export_info": f"{_RUNS} SELECT count(*) AS total_episodes, CAST(coalesce(sum(length), 0) AS BIGINT) AS total_frames, count(DISTINCT task_index) AS total_tasks, 30 AS fps, '0:' || count(*) AS train FROM num",
     "export_validation": f"{_RUNS} SELECT true AS ok, '' AS errors, CAST(coalesce(sum(length), 0) AS BIGINT) AS frames, count(*) AS episodes FROM num",
     "workspace_translation": f"WITH {ONE}, m AS (SELECT episode_id, side, quantile_cont(pose.x, 0.5) AS x, quantile_cont(pose.y, 0.5) AS y, quantile_cont(pose.z, 0.5) AS z FROM one GROUP BY 1, 2) SELECT episode_id, round(avg(0.3 - x) + {TIE}, 6) AS x, round(avg(CASE WHEN side = 0 THEN -0.2 ELSE 0.2 END - y) + {TIE}, 6) AS y, round(avg(0.3 - z) + {TIE}, 6) AS z FROM m GROUP BY 1",
     "plane_similarity": f"WITH {ONE}, j AS (SELECT a.episode_id, a.pose.x AS ax, a.pose.y AS ay, b.pose.x AS bx, b.pose.y AS by_ FROM one a JOIN one b ON a.episode_id = b.episode_id AND a.frame_idx = b.frame_idx AND a.side = 0 AND b.side = 1), s AS (SELECT episode_id, covar_pop(ax, bx) + covar_pop(ay, by_) AS re, covar_pop(ax, by_) - covar_pop(ay, bx) AS im, var_pop(ax) + var_pop(ay) AS n, avg(ax) AS max_, avg(ay) AS may, avg(bx) AS mbx, avg(by_) AS mby FROM j WHERE ax IS NOT NULL AND ay IS NOT NULL AND bx IS NOT NULL AND by_ IS NOT NULL GROUP BY 1), r AS (SELECT *, least(greatest(CASE WHEN n = 0 THEN NULL ELSE sqrt(re*re + im*im) / n END, 0.35), 2.2) AS scale, atan2(im, re) AS angle FROM s) SELECT episode_id, round(scale + {TIE}, 4) AS scale, round(angle + {TIE}, 4) AS angle, round(mbx - scale * (cos(angle) * max_ - sin(angle) * may) + {TIE}, 4) AS dx, round(mby - scale * (sin(angle) * max_ + cos(angle) * may) + {TIE}, 4) AS dy FROM r",
